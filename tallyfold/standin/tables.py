@@ -90,12 +90,16 @@ def content(table: str) -> tuple[str, dict[str, str]]:
 
 
 def cells_sql() -> dict[str, str]:
-    """Every weighted count any table needs: name -> summed expression."""
+    """Every weighted count any table needs: name -> summed expression.
+
+    Weights count in hundredths, as whole numbers, so that the counts add up
+    exactly like published ones do.
+    """
     out = {}
     for layout in layouts():
         who, columns = content(layout["table"])
         for name in layout["columns"]:
-            out[f"{layout['table']}_{name}"] = f"case when ({who}) and ({columns[name]}) then pweight else 0 end"
+            out[f"{layout['table']}_{name}"] = f"case when ({who}) and ({columns[name]}) then round(pweight * 100) else 0 end"
     return out
 
 
