@@ -139,7 +139,7 @@ def _arrow_schema(schema: T.StructType) -> pa.Schema:
 
 
 def _sum_respondents(keys: Sequence[str], metrics: Sequence[str], n_weights: int,
-                     sets: Sequence[Sequence[str]], schema: T.StructType) -> Callable:
+                     sets: Sequence[Sequence[str]], schema: T.StructType, max_held: int) -> Callable:
     """Task function: respondents in, sums per grouping set out."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,7 +156,7 @@ def _sum_respondents(keys: Sequence[str], metrics: Sequence[str], n_weights: int
                 rows = slice(start, end)
                 both = (left[rows].T @ weight[rows]).reshape(2, len(metrics), n_weights)
                 _gather(held, key, Sums(given[rows].sum(0), low[rows].min(0), high[rows].max(0), both))
-            if len(held) > MAX_HELD:
+            if len(held) > max_held:
                 yield from _batches(_per_set(held, keys, sets), metrics, out_schema)
                 held = {}
         yield from _batches(_per_set(held, keys, sets), metrics, out_schema)
@@ -210,7 +210,7 @@ def _merge(partial: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def grouped_sums(df: DataFrame, design: SurveyDesign, metrics: Sequence[str], keys: Sequence[str],
-                 sets: Sequence[Sequence[str]] | None = None) -> DataFrame:
+                 sets: Sequence[Sequence[str]] | None = None, max_held: int = MAX_HELD) -> DataFrame:
     """Sums of every metric for each grouping set of the keys.
 
     ``set_id`` numbers the sets in the order given; keys outside a set are
@@ -221,7 +221,8 @@ def grouped_sums(df: DataFrame, design: SurveyDesign, metrics: Sequence[str], ke
     sets = [list(keys)] if sets is None else sets
     schema = cube_schema([df.schema[k] for k in keys])
     packed = df.select(*keys, F.array(*design.columns).alias("w"), F.array(*metrics).alias("x"))
-    task = _sum_respondents(list(keys), list(metrics), len(design.columns), [list(s) for s in sets], schema)
+    task = _sum_respondents(list(keys), list(metrics), len(design.columns), [list(s) for s in sets], schema,
+                            max_held)
     return _merge(packed.mapInArrow(task, schema), keys)
 
 
