@@ -25,7 +25,9 @@ from tallyfold.functions.replicates import SurveyDesign
 SUM_FIELDS = ("n", "lo", "hi", "num", "den")
 # Sums held by a task before they are passed on; 27 kB each with 21 metrics and
 # 81 weights. What is passed on early is merged after the shuffle.
-MAX_HELD = 4000
+MAX_HELD = 2000
+# Rows of 1.3 kB held before they are added up, and rows per batch passed on.
+HELD_ROWS = 50000
 OUT_ROWS = 4000
 
 
@@ -45,8 +47,8 @@ def cube_schema(key_fields: Sequence[T.StructField]) -> T.StructType:
     )
 
 
-def segments(batch: pa.RecordBatch, keys: Sequence[str]) -> tuple[np.ndarray, list[tuple[int, int, tuple]]]:
-    """Row order that brings equal keys together, and (start, end, key) of each run."""
+def runs_of(batch: pa.RecordBatch, keys: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Row order that brings equal keys together, and where each run of equals starts."""
     code = np.zeros(batch.num_rows, dtype=np.int64)
     for name in keys:
         column = batch.column(name).dictionary_encode()
@@ -57,7 +59,13 @@ def segments(batch: pa.RecordBatch, keys: Sequence[str]) -> tuple[np.ndarray, li
     order = np.argsort(code, kind="stable")
     ordered = code[order]
     starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]) if len(code) else np.array([], int)
-    ends = np.r_[starts[1:], len(ordered)]
+    return order, starts
+
+
+def segments(batch: pa.RecordBatch, keys: Sequence[str]) -> tuple[np.ndarray, list[tuple[int, int, tuple]]]:
+    """Row order, and (start, end, key) of each run of equal keys."""
+    order, starts = runs_of(batch, keys)
+    ends = np.r_[starts[1:], len(order)]
     firsts = batch.select(list(keys)).take(pa.array(order[starts])) if keys else None
     rows = list(zip(*[firsts.column(k).to_pylist() for k in keys])) if keys else [()] * len(starts)
     return order, list(zip(starts, ends, rows))
@@ -164,41 +172,66 @@ def _sum_respondents(keys: Sequence[str], metrics: Sequence[str], n_weights: int
     return run
 
 
+def _compacted(batches: list[pa.RecordBatch], names: Sequence[str]) -> pa.RecordBatch:
+    """Cube rows with equal keys added up."""
+    batch = pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
+    order, starts = runs_of(batch, names)
+    width = len(batch.column("num")[0])
+    offsets = pa.array(np.arange(0, len(starts) * width + 1, width, dtype=np.int32))
+
+    def reduced(name: str, how: np.ufunc) -> np.ndarray:
+        return how.reduceat(batch.column(name).to_numpy(zero_copy_only=False)[order], starts)
+
+    def reduced_lists(name: str) -> pa.Array:
+        sums = np.add.reduceat(matrix(batch.column(name), width)[order], starts, axis=0)
+        return pa.ListArray.from_arrays(offsets, pa.array(sums.reshape(-1)))
+
+    firsts = batch.select(list(names)).take(pa.array(order[starts]))
+    columns = [*firsts.columns, pa.array(reduced("n", np.add)), pa.array(reduced("lo", np.minimum)),
+               pa.array(reduced("hi", np.maximum)), reduced_lists("num"), reduced_lists("den")]
+    return pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+
+
+def _in_set(batch: pa.RecordBatch, number: int, kept: Sequence[str], keys: Sequence[str],
+            schema: pa.Schema) -> pa.RecordBatch:
+    """The rows of a cube as rows of one grouping set."""
+    rows = batch.num_rows
+    columns = [pa.array(np.full(rows, number, dtype=np.int32))]
+    columns += [batch.column(k) if k in kept else pa.nulls(rows, schema.field(k).type) for k in keys]
+    columns += [batch.column(c) for c in ("metric", *SUM_FIELDS)]
+    return pa.RecordBatch.from_arrays(columns, schema=schema)
+
+
 def _sum_cells(keys: Sequence[str], sets: Sequence[Sequence[str]] | None, schema: T.StructType) -> Callable:
     """Task function: cube rows in, cube rows out with equal keys added up.
 
     With ``sets`` the rows are those of one cube and go to each grouping set;
-    without, they are partial rows of the same sets.
+    without, they are partial rows of the same sets. What is held is added up
+    whenever it has doubled, so it stays near the number of distinct keys.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out_schema, held = _arrow_schema(schema), {}
-
-        def passed_on() -> Iterator[pa.RecordBatch]:
-            by_metric: dict = {}
-            for (*key, metric), sums in held.items():
-                by_metric.setdefault(metric, {})[tuple(key)] = sums
-            for metric, cells in by_metric.items():
-                out = cells if sets is None else _per_set(cells, keys, sets)
-                yield from _batches(out, [metric], out_schema)
-
-        names = ["set_id", *keys] if sets is None else list(keys)
+        out_schema = _arrow_schema(schema)
+        names = ["set_id", *keys, "metric"]
+        held: list[pa.RecordBatch] = []
+        rows, limit = 0, HELD_ROWS
         for batch in batches:
-            order, runs = segments(batch, [*names, "metric"])
-            width = len(batch.column("num")[0]) if batch.num_rows else 0
-            if not width:
+            if not batch.num_rows:
                 continue
-            both = np.stack([matrix(batch.column("num"), width), matrix(batch.column("den"), width)], axis=1)[order]
-            n, lo, hi = (batch.column(c).to_numpy(zero_copy_only=False)[order] for c in ("n", "lo", "hi"))
-            for start, end, key in runs:
-                rows = slice(start, end)
-                sums = Sums(n[rows].sum(keepdims=True), lo[rows].min(keepdims=True), hi[rows].max(keepdims=True),
-                            both[rows].sum(0)[:, None, :])
-                _gather(held, key, sums)
-            if sets is not None and len(held) > MAX_HELD * 20:
-                yield from passed_on()
-                held = {}
-        yield from passed_on()
+            if sets is None:
+                incoming = [pa.RecordBatch.from_arrays(batch.columns, schema=out_schema)]
+            else:
+                incoming = [_in_set(batch, i, kept, keys, out_schema) for i, kept in enumerate(sets)]
+            held += incoming
+            rows += sum(b.num_rows for b in incoming)
+            if rows > limit:
+                held = [_compacted(held, names)]
+                rows = held[0].num_rows
+                limit = max(HELD_ROWS, 2 * rows)
+        if held:
+            out = _compacted(held, names)
+            for start in range(0, out.num_rows, OUT_ROWS):
+                yield out.slice(start, OUT_ROWS)
 
     return run
 
@@ -257,25 +290,37 @@ def with_rest(domains: DataFrame, within: Sequence[str], item: str) -> DataFrame
         after = np.concatenate([combine.accumulate(values[::-1], axis=0)[-2::-1], edge])
         return combine(before, after)
 
+    def position(column: pa.ChunkedArray) -> tuple[np.ndarray, int]:
+        coded = column.combine_chunks().dictionary_encode()
+        size = len(coded.dictionary)
+        return coded.indices.fill_null(size).to_numpy(zero_copy_only=False), size + 1
+
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("metric", "ascending"), (item, "ascending")]).combine_chunks()
+        rows, n_items = position(table[item])
+        columns, n_metrics = position(table["metric"])
         width = len(table["num"][0])
-        sums = np.stack([matrix(table[c].combine_chunks(), width) for c in ("num", "den")], axis=1)
-        flat = {c: table[c].to_numpy() for c in ("n", "lo", "hi")}
-        bounds = np.flatnonzero(np.r_[True, np.asarray(table["metric"])[1:] != np.asarray(table["metric"])[:-1], True])
-        out = {"n": [], "lo": [], "hi": [], "sums": []}
-        for start, end in zip(bounds[:-1], bounds[1:]):
-            rows = slice(start, end)
-            out["n"].append(others(flat["n"][rows], np.add, 0))
-            out["lo"].append(others(flat["lo"][rows], np.minimum, np.inf))
-            out["hi"].append(others(flat["hi"][rows], np.maximum, -np.inf))
-            out["sums"].append(others(sums[rows], np.add, 0.0))
-        rest = np.concatenate(out["sums"])
-        offsets = pa.array(np.arange(0, rest.shape[0] * width + 1, width, dtype=np.int32))
-        columns = [pa.array(np.concatenate(out[c])) for c in ("n", "lo", "hi")]
-        columns += [pa.ListArray.from_arrays(offsets, pa.array(rest[:, side].reshape(-1))) for side in (0, 1)]
-        for (name, _), column in zip(added, columns):
-            table = table.append_column(name, column)
+
+        def rest(values: np.ndarray, combine: np.ufunc, neutral: float) -> np.ndarray:
+            """Items by metrics, a gap where a pair does not occur, then all other items of each row."""
+            grid = np.full((n_items, n_metrics, *values.shape[1:]), neutral, dtype=values.dtype)
+            grid[rows, columns] = values
+            return others(grid, combine, neutral)[rows, columns]
+
+        offsets = pa.array(np.arange(0, len(rows) * width + 1, width, dtype=np.int32))
+
+        def rest_lists(name: str) -> pa.Array:
+            sums = rest(matrix(table[name].combine_chunks(), width), np.add, 0.0)
+            return pa.ListArray.from_arrays(offsets, pa.array(sums.reshape(-1)))
+
+        results = [
+            pa.array(rest(table["n"].to_numpy(), np.add, 0)),
+            pa.array(rest(table["lo"].to_numpy(), np.minimum, np.inf)),
+            pa.array(rest(table["hi"].to_numpy(), np.maximum, -np.inf)),
+            rest_lists("num"),
+            rest_lists("den"),
+        ]
+        for (name, _), result in zip(added, results):
+            table = table.append_column(name, result)
         return table
 
     return domains.groupBy(*within).applyInArrow(run, schema)

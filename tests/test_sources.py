@@ -18,8 +18,10 @@ def land(folder, week, rows):
     names = [c for c in ("wrkloss", *COMMON, *[f"spndsrc{n}" for n in range(1, 13)]) if c not in phase["absent"]]
     header = ["SCRAM", "WEEK", "EST_ST", "EST_MSA", "TBIRTH_YEAR", *[old.get(c, c).upper() for c in names]]
     lines = [",".join(header)]
-    for scram, code in rows:
-        lines.append(",".join([scram, str(week), "01", "NA", "1980", *[str(code)] * len(names)]))
+    for i, (scram, code) in enumerate(rows):
+        # owners with a mortgage and renters in turn
+        given = [2 + i // 2 % 2 if c == "tenure" else code for c in names]
+        lines.append(",".join([scram, str(week), "01", "NA", "1980", *map(str, given)]))
     year = microdata.microdata_year(week)
     (folder / str(year)).mkdir(exist_ok=True)
     (folder / str(year) / f"answers_{week:02d}.csv").write_text("\n".join(lines) + "\n")
