@@ -6,7 +6,7 @@ the answers. All of it adds up, so coarser domains come from the cube and the
 microdata is read once.
 
 The sums are 2 x metrics x weights per respondent (3402 with 21 and 81). As SQL
-sums they took 5 to 7 times as long as a matrix product per Arrow batch, which
+sums they took up to 7 times as long as a matrix product per Arrow batch, which
 is why this one step runs in Python. Spark partitions, shuffles and merges.
 """
 
