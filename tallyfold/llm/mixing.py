@@ -31,19 +31,18 @@ def tempered_rates(docs: DataFrame, power: float = 0.5, total: float | None = No
     """source, rate: weights in proportion to (documents of the source) ** power; ``total`` documents on average,
     as many as there are if it is null."""
     counts = docs.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
-    whole = counts.agg(F.sum(F.pow("n", F.lit(power))).alias("all_weight"), F.sum("n").alias("all_n"))
-    wanted = F.lit(float(total)) if total is not None else F.col("all_n").cast("double")
-    return counts.join(F.broadcast(whole)).select(
-        "source", (F.pow("n", F.lit(power)) / F.col("all_weight") * wanted / F.col("n")).alias("rate"))
+    all_weight, all_n = counts.agg(F.sum(F.pow("n", F.lit(power))), F.sum("n")).first()
+    wanted = float(all_n or 0 if total is None else total)
+    return counts.select("source", (F.pow("n", F.lit(power)) / F.lit(all_weight or 1.0) * F.lit(wanted) / F.col("n")).alias("rate"))
 
 
 def weighted_rates(docs: DataFrame, weights: DataFrame, total: float) -> DataFrame:
     """source, rate from a table of source and weight (unique by source); sources without a weight have rate 0."""
     counts = docs.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
     given = weights.select(F.col("source").alias("given"), F.col("weight").cast("double").alias("weight"))
-    whole = given.agg(F.sum("weight").alias("all_weight"))
-    return counts.join(given, F.col("source").eqNullSafe(F.col("given")), "left").join(F.broadcast(whole)).select(
-        "source", (F.coalesce(F.col("weight"), F.lit(0.0)) / F.col("all_weight") * F.lit(float(total)) / F.col("n")).alias("rate"))
+    all_weight = given.agg(F.sum("weight")).first()[0] or 1.0
+    return counts.join(given, F.col("source").eqNullSafe(F.col("given")), "left").select(
+        "source", (F.coalesce(F.col("weight"), F.lit(0.0)) / F.lit(all_weight) * F.lit(float(total)) / F.col("n")).alias("rate"))
 
 
 def _with_distribution(rates: DataFrame) -> DataFrame:

@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from tallyfold.llm.decontaminate import contained
 from tallyfold.llm.mixing import mix_sources, tempered_rates
+from tallyfold.llm.neardup import near_duplicates
+from tallyfold.llm.quality import quality_report
 from tallyfold.llm.sharding import shard_documents
 from tallyfold.llm.tokens import token_files
+from tallyfold.llm.toxicity import held_out, score_toxicity, train
 
 END_ID, N_SHARDS, MIX_POWER, SEED = 1, 40, 0.5, 7
 
@@ -30,14 +33,29 @@ def op2_bin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op4_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return mix_sources(docs, tempered_rates(docs, MIX_POWER), SEED).select(
         "doc_id", "source", "copy", "shuffle_key", F.md5("text").alias("text_md5"))
 
 
+def op7_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(read(spark, sf_dir, "documents"))
+
+
+def op8_chain_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    scored = score_toxicity(docs, train(docs, read(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "spans")
+
+
 def op10_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_codes, op2_bin_packing, op4_poisson_mix, op10_containment)}
+QUERIES = {f.__name__: f for f in (op1_token_codes, op2_bin_packing, op3_minhash, op4_poisson_mix, op7_divergence, op8_chain_field,
+                                op10_containment)}

@@ -102,8 +102,8 @@ def shingle_sets(words: Words) -> list[np.ndarray]:
         if n >= SHINGLE:
             out.append(np.unique(all_[a : b - SHINGLE + 1]))
         elif n:
-            whole = (words.hash[a:b] * _PLACE[:n]).sum(dtype=np.uint64)
-            out.append(mix(np.array([whole + np.uint64(n) * _BASE], np.uint64)))
+            whole = (words.hash[a:b] * _PLACE[:n]).sum(dtype=np.uint64, keepdims=True)
+            out.append(mix(whole + np.full(1, n, np.uint64) * _BASE))
         else:
             out.append(np.zeros(0, np.uint64))
     return out
