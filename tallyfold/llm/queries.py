@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.llm.decontaminate import contained
+from tallyfold.llm.language_model import score_texts
 from tallyfold.llm.mixing import mix_sources, tempered_rates
 from tallyfold.llm.neardup import near_duplicates
 from tallyfold.llm.quality import quality_report
@@ -43,6 +44,10 @@ def op4_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "source", "copy", "shuffle_key", F.md5("text").alias("text_md5"))
 
 
+def op5_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(read(spark, sf_dir, "documents"))
+
+
 def op7_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(read(spark, sf_dir, "documents"))
 
@@ -57,5 +62,5 @@ def op10_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_codes, op2_bin_packing, op3_minhash, op4_poisson_mix, op7_divergence, op8_chain_field,
-                                op10_containment)}
+QUERIES = {f.__name__: f for f in (op1_token_codes, op2_bin_packing, op3_minhash, op4_poisson_mix,
+                                op5_deleted_interpolation, op7_divergence, op8_chain_field, op10_containment)}
