@@ -9,6 +9,7 @@ from tallyfold.llm.decontaminate import contained
 from tallyfold.llm.language_model import score_texts
 from tallyfold.llm.mixing import mix_sources, tempered_rates
 from tallyfold.llm.neardup import near_duplicates
+from tallyfold.llm.passages import repeated_passages
 from tallyfold.llm.quality import quality_report
 from tallyfold.llm.sharding import shard_documents
 from tallyfold.llm.tokens import token_files
@@ -48,6 +49,10 @@ def op5_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(read(spark, sf_dir, "documents"))
 
 
+def op6_chained_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(read(spark, sf_dir, "documents"))
+
+
 def op7_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(read(spark, sf_dir, "documents"))
 
@@ -63,4 +68,5 @@ def op10_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_token_codes, op2_bin_packing, op3_minhash, op4_poisson_mix,
-                                op5_deleted_interpolation, op7_divergence, op8_chain_field, op10_containment)}
+                                op5_deleted_interpolation, op6_chained_passages, op7_divergence, op8_chain_field,
+                                op10_containment)}
