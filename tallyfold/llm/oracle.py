@@ -30,10 +30,10 @@ from copies c join documents d using (doc_id)
 
 def _shingles(table: str, key: str) -> str:
     return f"""(with words as (select {key}, list_filter(regexp_split_to_array(
-        lower(text), '[\\x20\\x09-\\x0D]+'), w -> w <> '') as w
+        lower(text), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as w
         from {table})
       select distinct {key}, s from (select {key}, unnest(case when len(w) >= 5
-        then list_transform(generate_series(1, len(w) - 4), i -> array_to_string(w[i:i + 4], ' '))
+        then list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' '))
         when len(w) > 0 then [array_to_string(w, ' ') || ' (short)'] else [] end) as s from words))"""
 
 
@@ -46,4 +46,29 @@ from d join b using (s) join q using (item_id)
 group by doc_id, item_id having count(*) * 100 >= any_value(n_item) * 75
 """
 
-SQL = {"op4_poisson_mix": MIX, "op10_containment": CONTAINED}
+URLS = """
+with captures as (select page_id, url, (date '2020-01-01' + (page_id * 7919 % 1461)::int)::date as fetched_on from pages),
+sites as (select distinct regexp_extract(lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)), '([^.]+[.][^.]+[.][^.]+)$', 1) as site from pages),
+hashed as (select site, ('0x' || substr(md5(site), 1, 6))::int as h from sites where site <> ''),
+listed as (select *, (date '2019-12-01' + h % 997)::date as since from hashed where h % 3 = 0 or regexp_matches(site, '(spam|adult|bets)')),
+entries as (select site as pattern, since as listed_on, 'block' as verdict from listed
+    union all select site, (since + 90 + h % 300)::date, 'allow' from listed where h % 2 = 0
+    union all select site, (since + 500 + h % 300)::date, 'block' from listed where h % 4 = 0
+    union all select site || '/en', (since + 30)::date, 'allow' from listed where h % 5 < 2
+    union all select site || '/de', (since - 60)::date, 'block' from listed where h % 7 < 3),
+daily as (select pattern, listed_on, max(verdict) as verdict from entries group by all),
+spans as (select *, lead(listed_on) over (partition by pattern order by listed_on) as until from daily),
+parsed as (select *, string_split(regexp_replace(lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)([^?#]*)', 1)),
+        '^.*@|:[0-9]*$', '', 'g'), '.') as h,
+    list_filter(string_split(lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)([^?#]*)', 2)), '/'), lambda x: x <> '') as s from captures),
+looked as (select page_id, url, fetched_on, unnest(list_concat(
+        list_transform(generate_series(1, len(h)), lambda i: array_to_string(h[i:], '.')),
+        list_transform(generate_series(1, len(s)), lambda j: array_to_string(h, '.') || '/' || array_to_string(s[1:j], '/')))) as pattern from parsed),
+met as (select l.*, p.listed_on, p.verdict, row_number() over (partition by page_id
+        order by contains(pattern, '/') desc, length(pattern) desc, pattern desc) as place
+    from looked l join spans p using (pattern) where p.listed_on <= fetched_on and (until is null or fetched_on < until))
+select c.page_id, c.url, c.fetched_on::varchar as fetched_on, m.verdict, m.pattern, m.listed_on::varchar as listed_on
+from captures c left join met m on c.page_id = m.page_id and m.place = 1
+"""
+
+SQL = {"op9_temporal_lists": URLS, "op4_poisson_mix": MIX, "op10_containment": CONTAINED}

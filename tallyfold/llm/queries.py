@@ -14,6 +14,7 @@ from tallyfold.llm.quality import quality_report
 from tallyfold.llm.sharding import shard_documents
 from tallyfold.llm.tokens import token_files
 from tallyfold.llm.toxicity import held_out, score_toxicity, train
+from tallyfold.llm.urls import judge_captures
 
 END_ID, N_SHARDS, MIX_POWER, SEED = 1, 40, 0.5, 7
 
@@ -63,10 +64,40 @@ def op8_chain_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "spans")
 
 
+def dated_captures(pages: DataFrame) -> DataFrame:
+    """Pages with a fetch day, spread over four years by page_id: the table has none."""
+    return pages.select("page_id", "url", F.expr("date_add(date'2020-01-01', cast(page_id * 7919 % 1461 as int))").alias("fetched_on"))
+
+
+def dated_list(pages: DataFrame) -> DataFrame:
+    """A list with a history, made from the pages' own hosts: a third of the sites and all whose name says so are
+    blocked from some day on, half of those are cleared later, and some languages of a site have entries of their own."""
+    host = "lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1))"
+    sites = pages.select(F.expr(f"regexp_extract({host}, '([^.]+[.][^.]+[.][^.]+)$', 1)").alias("site")).where("site <> ''").distinct()
+    hashed = sites.select("site", F.expr("cast(conv(substr(md5(site), 1, 6), 16, 10) as int)").alias("h"))
+    listed = hashed.where("h % 3 = 0 or site rlike '(spam|adult|bets)'").withColumn("since", F.expr("date_add(date'2019-12-01', h % 997)"))
+    again = [("block", "site", "since", "true"), ("allow", "site", "date_add(since, 90 + h % 300)", "h % 2 = 0"),
+             ("block", "site", "date_add(since, 500 + h % 300)", "h % 4 = 0"), ("allow", "concat(site, '/en')", "date_add(since, 30)", "h % 5 < 2"),
+             ("block", "concat(site, '/de')", "date_add(since, -60)", "h % 7 < 3")]
+    parts = [listed.where(when).select(F.expr(pattern).alias("pattern"), F.expr(day).alias("listed_on"), F.lit(verdict).alias("verdict"))
+             for verdict, pattern, day, when in again]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
+    return out
+
+
+def op9_temporal_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    judged = judge_captures(dated_captures(pages), dated_list(pages))
+    days = [F.col(c).cast("string").alias(c) for c in ("fetched_on", "listed_on")]
+    return judged.select("page_id", "url", "verdict", "pattern", *days)
+
+
 def op10_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
 QUERIES = {f.__name__: f for f in (op1_token_codes, op2_bin_packing, op3_minhash, op4_poisson_mix,
                                 op5_deleted_interpolation, op6_chained_passages, op7_divergence, op8_chain_field,
-                                op10_containment)}
+                                op9_temporal_lists, op10_containment)}
