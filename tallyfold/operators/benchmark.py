@@ -20,14 +20,6 @@ def race_rows(lines: DataFrame) -> DataFrame:
     return hits.select("*", F.row_number().over(sheet).alias("_line")).where("_line > 1").drop("_line")
 
 
-def table_of_week(table: str, week: int) -> str:
-    """The food table was renamed twice; other tables keep their name."""
-    if table != "food2b":
-        return table
-    return next(l["table"] for l in cb.BENCHMARK_LAYOUTS
-                if l["table"].startswith("food") and l["weeks"][0] <= week <= l["weeks"][1])
-
-
 def _ratios(layout: dict) -> Column:
     position = {name: f"c{i}" for i, name in enumerate(layout["columns"], start=1)}
 
@@ -48,15 +40,27 @@ def _applies(layout: dict) -> Column:
     return hit if layout["n_cols"] is None else hit & (F.col("n_cols") == layout["n_cols"])
 
 
+def unknown_lines(lines: DataFrame) -> DataFrame:
+    """Race lines whose table, week and width fit no layout."""
+    known = F.lit(False)
+    for layout in cb.BENCHMARK_LAYOUTS:
+        known = known | F.coalesce(_applies(layout), F.lit(False))
+    return race_rows(lines).where(~known)
+
+
 def benchmark_ratios(lines: DataFrame, metro_names: DataFrame) -> DataFrame:
     """Shares of every table in one job: the layout is chosen per row by table, week and width.
 
-    What is no number counts as 0, as the tables leave cells empty for it.
+    What is no number counts as 0, as the tables leave cells empty for it. A line whose table, week and width fit
+    no layout ends the job; ``unknown_lines`` lists such lines.
     """
     rows = race_rows(lines).withColumns(text_to_double(VALUES, fill=0.0))
     ratios = None
     for layout in cb.BENCHMARK_LAYOUTS:
         ratios = (F if ratios is None else ratios).when(_applies(layout), _ratios(layout))
+    unknown = F.concat_ws(" ", F.lit("no layout is known for table"), "table_name", F.lit("of week"), F.col("week").cast("string"),
+                          F.lit("with columns:"), F.col("n_cols").cast("string"))
+    ratios = ratios.otherwise(F.raise_error(unknown))
     label = F.col("variable")
     race = F.when(label == cb.HISPANIC_LABEL, "hispanic")
     for text, group in zip(cb.RACE_LABELS.values(), ("white", "black", "asian", "other")):

@@ -28,10 +28,6 @@ def by_prefix(df: DataFrame, *prefixes: str) -> list[str]:
     return [c for c in df.columns if c.startswith(prefixes)]
 
 
-def by_pattern(df: DataFrame, pattern: str) -> list[str]:
-    return [c for c in df.columns if re.fullmatch(pattern, c)]
-
-
 def numeric_columns(df: DataFrame, skip: Iterable[str] = ()) -> list[str]:
     skip = set(skip)
     return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType) and f.name not in skip]
@@ -42,10 +38,6 @@ def across(names: Iterable[str], fn: Callable[[Column], Column], template: str =
     return [fn(F.col(n)).alias(template.format(n)) for n in names]
 
 
-def to_double(names: Iterable[str]) -> dict[str, Column]:
-    return {n: F.col(n).cast("double") for n in names}
-
-
 def text_to_double(names: Iterable[str], fill: float | None = None) -> dict[str, Column]:
     """Numbers held as text; what is not a number becomes null, or ``fill``."""
     out = {n: F.col(n).try_cast("double") for n in names}

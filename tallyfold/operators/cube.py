@@ -174,7 +174,7 @@ def _sum_respondents(keys: Sequence[str], metrics: Sequence[str], n_weights: int
 
 def _compacted(batches: list[pa.RecordBatch], names: Sequence[str]) -> pa.RecordBatch:
     """Cube rows with equal keys added up."""
-    batch = pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
+    (batch,) = pa.Table.from_batches(batches).combine_chunks().to_batches()
     order, starts = runs_of(batch, names)
     width = len(batch.column("num")[0])
     offsets = pa.array(np.arange(0, len(starts) * width + 1, width, dtype=np.int32))

@@ -15,15 +15,17 @@ def union_fill(first: DataFrame, second: DataFrame) -> DataFrame:
     return first.unionByName(second, allowMissingColumns=True)
 
 
-def append_idempotent(history: DataFrame, run: DataFrame, period: str = "week_num") -> DataFrame:
+def append_idempotent(history: DataFrame, run: DataFrame, period: str = "week_num", periods: Column | None = None) -> DataFrame:
     """History without the periods of the run, plus the run; loading a run again changes nothing.
 
-    The list of periods is one row per period, so it is collected by a
-    distinct and matched by an anti join. A table partitioned by the period
-    gets the same result cheaper from ``sinks.overwrite_periods``.
+    The periods are an array from a scalar subquery, so the history is filtered where it is read and not
+    shuffled. ``periods`` gives the array where it is known more cheaply than from the run. A table
+    partitioned by the period gets the same result from ``sinks.overwrite_periods``, which reads no history.
     """
-    periods = run.select(period).distinct()
-    return history.join(periods, period, "left_anti").unionByName(run)
+    if periods is None:
+        periods = run.select(F.collect_set(period)).scalar()
+    kept = ~F.coalesce(F.array_contains(periods, F.col(period)), F.lit(False))
+    return history.where(kept).unionByName(run)
 
 
 def week_rank(week_num: str | Column = "week_num") -> Column:

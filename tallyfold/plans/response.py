@@ -53,20 +53,19 @@ def race_mix_of_answerers(flags: DataFrame) -> DataFrame:
 
 
 def outcome_by_answered(flags: DataFrame, outcome: str = "inc_loss") -> DataFrame:
-    """Mean outcome among those who did and did not answer each item, by group and in total."""
+    """Mean outcome among those who did and did not answer each item, by group and in total.
+
+    One row a respondent goes into the sums; the few sums are laid out by answer afterwards.
+    """
     names = by_prefix(flags, "answered_")
-    rows = unpivot_metrics(
-        flags.where(F.col(outcome).isNotNull()), ["week_num", "hisp_rrace", outcome], names, "metric", "answered"
-    )
-    week, metric, answered, race = (F.col(c) for c in ("week_num", "metric", "answered", "hisp_rrace"))
-    means = rows.groupingSets(
-        [[week, metric, answered, race], [week, metric, answered]], week, metric, answered, race
-    ).agg(F.grouping("hisp_rrace").alias("_level"), F.avg(outcome).alias("pct"))
-    labelled = means.select(
-        "week_num", "metric", "answered", F.col("_level"), _with_total(F.col("_level")).alias("hisp_rrace"), "pct"
-    )
-    wide = pivot_metrics(labelled, ["week_num", "hisp_rrace", "_level", "answered"], "metric", "pct", names)
-    return wide.drop("_level")
+    week, race, value = F.col("week_num"), F.col("hisp_rrace"), F.col(outcome)
+    answers = {"yes": F.lit(1.0), "no": F.lit(0.0), "none": F.lit(None).cast("double")}
+    sums = [F.avg(F.when(F.col(n).eqNullSafe(a), value)).alias(f"{n}_{k}") for k, a in answers.items() for n in names]
+    means = flags.where(value.isNotNull()).groupingSets([[week, race], [week]], week, race).agg(
+        F.grouping("hisp_rrace").alias("_level"), *sums)
+    rows = F.array(*[F.struct(a.alias("answered"), *[F.col(f"{n}_{k}").alias(n) for n in names]) for k, a in answers.items()])
+    return means.select("week_num", _with_total(F.col("_level")).alias("hisp_rrace"), F.inline(rows)).where(
+        F.coalesce(*names).isNotNull())
 
 
 def missing_share(df: DataFrame, columns: Sequence[str] | None = None, week: str = "week_num") -> DataFrame:

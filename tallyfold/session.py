@@ -2,8 +2,30 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's source to the executors, once for each application: Python functions in a plan name it."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="tallyfold-ship-")
+    archive = os.path.join(folder, "tallyfold_source.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for file in sorted(root.rglob("*.py")):
+            z.write(file, file.relative_to(root.parent))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
 
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
     """A session for the jobs; ``conf`` keys use ``__`` for dots."""
@@ -18,4 +40,6 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
     }
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark

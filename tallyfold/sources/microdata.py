@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,27 +27,53 @@ def period_path(template: str, week: int) -> str:
     return template.format(year=microdata_year(week), week=week)
 
 
-def _text_scan(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Every column as text: names come from the header line, types are declared by the caller."""
-    return snake_case(spark.read.options(**CSV_OPTIONS).csv(list(paths)))
+def header_of(spark: SparkSession, file: str) -> tuple[str, ...]:
+    """Column names in the first line of a file; reads no more than that."""
+    line = spark.read.text(file).head()
+    return tuple(next(csv.reader([line["value"].lstrip("\ufeff")]))) if line else ()
+
+
+def _text_scan(spark: SparkSession, paths: Sequence[str], allow_extra: bool = False) -> DataFrame:
+    """Every column as text, by the names in each file's own header line.
+
+    There is one scan for each distinct header, with a declared schema that Spark compares with the header, so
+    files may order their columns differently. Files of one scan must have the same columns; ``allow_extra``
+    lets some have more, which are null for the others. Files without a line have no rows.
+    """
+    files = [f for path in paths for f in spark.read.text(path).inputFiles()]
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file in files:
+        if header := header_of(spark, file):
+            by_header.setdefault(header, []).append(file)
+    if not by_header:
+        raise ValueError(f"no header line in {list(paths)}")
+    scans = []
+    for header, same in by_header.items():
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+        scans.append(snake_case(spark.read.schema(schema).options(**CSV_OPTIONS, enforceSchema="false").csv(same)))
+    common = set.intersection(*[set(scan.columns) for scan in scans])
+    odd = sorted({c for scan in scans for c in scan.columns} - common)
+    if odd and not allow_extra:
+        raise ValueError(f"these columns are not in all files of one layout: {odd}")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
 def _typed(df: DataFrame, types: Mapping[str, str], default: str) -> DataFrame:
     return df.select(*[F.col(c).cast(types.get(c, default)).alias(c) for c in df.columns])
 
 
-def read_answers(spark: SparkSession, template: str, weeks: Iterable[int]) -> DataFrame:
-    """Coded answers of many weeks, one scan per questionnaire layout, harmonised and stacked."""
+def read_answers(spark: SparkSession, template: str, weeks: Iterable[int], allow_extra: bool = False) -> DataFrame:
+    """Coded answers of many weeks, one scan per questionnaire layout and header, harmonised and stacked."""
     types = {"scram": "string", "week": "int", "est_st": "string", "est_msa": "string", "tbirth_year": "int"}
 
     def read(same_layout: list[int]) -> DataFrame:
-        return _typed(_text_scan(spark, [period_path(template, w) for w in same_layout]), types, "double")
+        return _typed(_text_scan(spark, [period_path(template, w) for w in same_layout], allow_extra), types, "double")
 
     return stack_periods(weeks, read)
 
 
 def read_weights(spark: SparkSession, template: str, weeks: Iterable[int]) -> DataFrame:
-    """Replicate weights of many weeks in one scan."""
+    """Replicate weights of many weeks, one scan per header."""
     paths = [period_path(template, w) for w in sorted(set(weeks))]
     return _typed(_text_scan(spark, paths), {"scram": "string", "week": "int"}, "double")
 

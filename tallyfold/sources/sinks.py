@@ -13,15 +13,21 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).options(header="true", nullValue="NA").csv(path)
 
 
+def by_period(df: DataFrame, period: str) -> DataFrame:
+    """Rows of a period together, so that tasks don't each write a file for every period. AQE splits a large
+    period and joins small ones."""
+    return df.hint("rebalance", period)
+
+
 def write_table(df: DataFrame, path: str, period: str = "week_num", mode: str = "overwrite") -> None:
     """Parquet by period, so that a run reads the weeks it needs."""
-    df.write.mode(mode).partitionBy(period).parquet(path)
+    by_period(df, period).write.mode(mode).partitionBy(period).parquet(path)
 
 
 def overwrite_periods(df: DataFrame, path: str, period: str = "week_num") -> None:
     """Replace only the periods the run holds; a rerun leaves the same table."""
     (
-        df.write.mode("overwrite")
+        by_period(df, period).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(period)
         .parquet(path)

@@ -131,9 +131,18 @@ def test_published_shares_by_layout(ratios):
     assert len(found) == 11
 
 
-def test_table_names_by_week():
-    assert [bm.table_of_week("food2b", w) for w in (21, 22, 33, 34)] == ["food2b", "food2", "food2", "food1"]
-    assert bm.table_of_week("employ1", 40) == "employ1"
+def test_lines_without_a_layout_end_the_job(spark):
+    def line(table, week, n_cols, no):
+        return (table, week, "US", no, n_cols, "Hispanic or Latino (may be of any race)", *["1"] * cb.BENCHMARK_MAX_COLUMNS)
+
+    lines = [line("food2", 30, 7, 1), line("food2", 30, 7, 2), line("food2", 49, 7, 1), line("food2", 49, 7, 2),
+             line("housing2a", 30, 3, 1), line("housing2a", 30, 3, 2)]
+    table = spark.createDataFrame(lines, microdata.benchmark_schema())
+    odd = {(r["table_name"], r["week"]) for r in bm.unknown_lines(table).collect()}
+    assert ("food2", 49) in odd and ("housing2a", 30) in odd and ("food2", 30) not in odd
+    names = spark.createDataFrame([], "msa_name string, data_table_msa_name string")
+    with pytest.raises(Exception, match="no layout is known for table"):
+        bm.benchmark_ratios(table.where("week = 49"), names).collect()
 
 
 def test_comparison_flags_what_is_out_of_tolerance(spark, ratios):

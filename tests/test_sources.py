@@ -121,3 +121,36 @@ def test_weeks_prune_to_their_partition(spark, tmp_path):
     sinks.write_table(frame(spark, people(40)), path)
     plan = spark.read.parquet(path).where("week_num = 'wk13'").select("scram")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(week_num" in plan
+
+
+def _write(folder, name, header, *rows):
+    (folder / name).write_text("\n".join([header, *rows]) + "\n")
+    return str(folder / name)
+
+
+def test_each_file_is_read_by_its_own_header(spark, tmp_path):
+    one = _write(tmp_path, "weights_46.csv", "SCRAM,WEEK,PWEIGHT,PWEIGHT1,PWEIGHT2", "a,46,1,10,20")
+    two = _write(tmp_path, "weights_47.csv", "PWEIGHT2,SCRAM,PWEIGHT,WEEK,PWEIGHT1", "21,b,2,47,11")
+    rows = {r["scram"]: r.asDict() for r in microdata.read_weights(spark, str(tmp_path / "weights_{week:02d}.csv"), [46, 47]).collect()}
+    assert rows["a"] == {"scram": "a", "week": 46, "pweight": 1.0, "pweight1": 10.0, "pweight2": 20.0}
+    assert rows["b"] == {"scram": "b", "week": 47, "pweight": 2.0, "pweight1": 11.0, "pweight2": 21.0}
+    assert one != two
+
+
+def test_extra_and_missing_columns_raise_or_are_null(spark, tmp_path):
+    _write(tmp_path, "weights_46.csv", "SCRAM,WEEK,PWEIGHT", "a,46,1")
+    _write(tmp_path, "weights_47.csv", "SCRAM,WEEK,NEW,PWEIGHT", "b,47,5,2")
+    template = str(tmp_path / "weights_{week:02d}.csv")
+    with pytest.raises(ValueError, match="new"):
+        microdata.read_weights(spark, template, [46, 47])
+    scan = microdata._text_scan(spark, [microdata.period_path(template, w) for w in (46, 47)], allow_extra=True)
+    assert {(r["scram"], r["new"], r["pweight"]) for r in scan.collect()} == {("a", None, "1"), ("b", "5", "2")}
+    _write(tmp_path, "weights_45.csv", "")
+    with pytest.raises(ValueError, match="header"):
+        microdata.read_weights(spark, template, [45])
+
+
+def test_a_period_has_few_files(spark, tmp_path):
+    df = spark.range(4000).selectExpr("id", "concat('wk', id % 5) as week_num").repartition(16)
+    sinks.write_table(df, str(tmp_path / "t"))
+    assert len(list((tmp_path / "t").rglob("part-*.parquet"))) <= 2 * 5
