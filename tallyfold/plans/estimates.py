@@ -40,6 +40,8 @@ class EstimateOptions:
     removed: Sequence[str] = cb.REMOVED_TOTAL_METRICS
     families: Sequence[str] = FAMILIES
     null_geo_in_rest: bool = False
+    #: Week labels that every area has rows for; by default those of which the area has respondents.
+    weeks: Sequence[str] | None = None
 
 
 def latest_weeks(df: DataFrame, count: int = 2, week: str = "week") -> DataFrame:
@@ -130,17 +132,18 @@ def contrasts(domain: DataFrame, design: SurveyDesign) -> DataFrame:
     return contrast(places, design, solo=(F.col("geo_type") == NATIONAL) & (F.col("kind") == "total"))
 
 
-def _cell_key(metric: Column, race: Column) -> Column:
-    return F.concat_ws("|", metric, race)
+def _cell_key(week: Column, metric: Column, race: Column) -> Column:
+    return F.concat_ws("|", week, metric, race)
 
 
-def dense(stats: DataFrame, options: EstimateOptions) -> DataFrame:
-    """A row for every metric and group of each week and geography present.
+def dense(stats: DataFrame, options: EstimateOptions, places: DataFrame | None = None) -> DataFrame:
+    """A row for every metric and group of each area and week.
 
-    Cells nobody is in get the constants of an empty contrast. The lists are
-    literals, looked up in a map of at most metrics x (groups + total) entries
-    per week and geography, so no grid is joined. National totals are the
-    exception: a metric without answers has no row, a removed one a constant row.
+    ``places`` (geo_type, geography) adds areas of a dimension that may have no respondents at all; with
+    ``options.weeks`` an area has rows for all these weeks. Cells nobody is in get the constants of an empty
+    contrast. The lists are literals, looked up in a map of at most weeks x metrics x (groups + total) entries
+    per area, so no grid is joined. National totals are the exception: a metric without answers has no row, a
+    removed one a constant row.
     """
     wanted = set(options.families)
     is_us = F.col("geo_type") == NATIONAL
@@ -150,18 +153,20 @@ def dense(stats: DataFrame, options: EstimateOptions) -> DataFrame:
         F.when(with_groups, literal_array(options.groups)).otherwise(F.array().cast("array<string>")),
         F.when(with_total, literal_array([cb.TOTAL])).otherwise(F.array().cast("array<string>")),
     )
-    entry = F.when(
-        F.col("race_var").isNotNull(), F.struct(_cell_key(F.col("metric"), F.col("race_var")), F.struct(*STATS))
-    )
-    cells = stats.groupBy("week_num", "geo_type", "geography").agg(
-        F.map_from_entries(F.collect_list(entry)).alias("cells")
-    )
-    grid = cells.select("*", F.explode(literal_array(options.metrics)).alias("metric")).select(
-        "*", F.explode(races).alias("race_var")
+    key = _cell_key(F.col("week_num"), F.col("metric"), F.col("race_var"))
+    entry = F.when(F.col("race_var").isNotNull(), F.struct(key.alias("key"), F.struct(*STATS).alias("value")))
+    rows = stats.select("geo_type", "geography", "week_num", entry.alias("entry"))
+    if places is not None:
+        rows = rows.unionByName(places.select("geo_type", "geography").distinct(), allowMissingColumns=True)
+    cells = rows.groupBy("geo_type", "geography").agg(
+        F.map_from_entries(F.collect_list("entry")).alias("cells"), F.collect_set("week_num").alias("found_weeks")
     )
+    weeks = F.col("found_weeks") if options.weeks is None else literal_array(list(options.weeks))
+    grid = cells.select("geo_type", "geography", "cells", F.explode(weeks).alias("week_num")).select(
+        "*", F.explode(literal_array(options.metrics)).alias("metric")).select("*", F.explode(races).alias("race_var"))
     us_total = is_us & (F.col("race_var") == cb.TOTAL)
     removed = us_total & F.col("metric").isin(*options.removed)
-    found = F.when(~removed, F.try_element_at("cells", _cell_key(F.col("metric"), F.col("race_var"))))
+    found = F.when(~removed, F.try_element_at("cells", key))
     none, zero = F.lit(None).cast("double"), F.lit(0.0)
     constants = {"mean": none, "se": zero, "other_mean": none, "other_se": zero, "diff_mean": zero, "diff_se": zero}
     return (
@@ -178,14 +183,23 @@ def dense(stats: DataFrame, options: EstimateOptions) -> DataFrame:
     )
 
 
-def estimate(df: DataFrame, design: SurveyDesign, options: EstimateOptions = EstimateOptions()) -> DataFrame:
+def areas(df: DataFrame) -> DataFrame:
+    """geo_type, geography of all areas that respondents name, in whichever week."""
+    kinds = F.array(*[F.struct(F.lit(kind).alias("geo_type"), F.col(c).alias("geography"))
+                      for kind, c in (("state", "state"), ("msa", "cbsa_title"))])
+    return df.select(F.inline(kinds)).where("geography is not null").distinct()
+
+
+def estimate(df: DataFrame, design: SurveyDesign, options: EstimateOptions = EstimateOptions(),
+             places: DataFrame | None = None) -> DataFrame:
     """Contrast rows of the wanted families from prepared microdata."""
-    return dense(contrasts(domains(df, design, options), design), options)
+    return dense(contrasts(domains(df, design, options), design), options, places)
 
 
-def estimate_from_cube(cube: DataFrame, design: SurveyDesign, options: EstimateOptions = EstimateOptions()) -> DataFrame:
+def estimate_from_cube(cube: DataFrame, design: SurveyDesign, options: EstimateOptions = EstimateOptions(),
+                       places: DataFrame | None = None) -> DataFrame:
     """The same from a cube kept as a table."""
-    return dense(contrasts(domains_of_cube(cube, options), design), options)
+    return dense(contrasts(domains_of_cube(cube, options), design), options, places)
 
 
 def publish_columns(estimates: DataFrame) -> DataFrame:
@@ -217,9 +231,9 @@ def removed_metric_rows(weeks: DataFrame, removed: Iterable[str] = cb.REMOVED_TO
 
 
 def feature_output(df: DataFrame, design: SurveyDesign, dates: DataFrame,
-                   options: EstimateOptions = EstimateOptions()) -> DataFrame:
+                   options: EstimateOptions = EstimateOptions(), places: DataFrame | None = None) -> DataFrame:
     """Published estimates with both income questions under one metric."""
-    return join_week_dates(publish_columns(estimate(df, design, options)), dates)
+    return join_week_dates(publish_columns(estimate(df, design, options, places)), dates)
 
 
 def relabel_split_metric(feature: DataFrame, metric: str = "inc_loss", renamed: str = "inc_loss_rv",
@@ -238,20 +252,22 @@ def relabel_split_metric(feature: DataFrame, metric: str = "inc_loss", renamed:
     )
 
 
-def expected_grid_count(estimates: DataFrame, metrics: Sequence[str] = cb.METRICS,
+def expected_grid_count(estimates: DataFrame, places: DataFrame, weeks: Sequence[str], metrics: Sequence[str] = cb.METRICS,
                         groups: Sequence[str] = cb.GROUPS) -> DataFrame:
     """One row: rows found, rows a complete grid has, and whether they agree.
 
-    Complete means every metric and every group and the total, for each
-    geography and week that occurs.
+    Complete means every metric, every group and the total for each area of ``places`` (geo_type, geography) and
+    each of the weeks, whoever answered; rows of other areas and weeks are not counted.
     """
-    per_cell = len(metrics) * (len(groups) + 1)
-    found = estimates.groupBy("week_num", "geo_type", "geography").agg(F.count(F.lit(1)).alias("n"))
-    counts = found.agg(F.sum("n").alias("n_found"), (F.count(F.lit(1)) * per_cell).alias("n_expected"))
+    per_place = len(metrics) * (len(groups) + 1) * len(weeks)
+    wanted = places.select("geo_type", "geography").distinct()
+    found = estimates.where(F.col("week_num").isin(*weeks)).join(wanted, ["geo_type", "geography"], "left_semi")
+    expected = wanted.select(F.count(F.lit(1)) * per_place).scalar()
+    counts = found.agg(F.count(F.lit(1)).alias("n_found")).withColumn("n_expected", expected)
     return counts.withColumn("complete", F.col("n_found") == F.col("n_expected"))
 
 
-def assert_complete(estimates: DataFrame, metrics: Sequence[str] = cb.METRICS) -> None:
-    row = expected_grid_count(estimates, metrics).first()
+def assert_complete(estimates: DataFrame, places: DataFrame, weeks: Sequence[str], metrics: Sequence[str] = cb.METRICS) -> None:
+    row = expected_grid_count(estimates, places, weeks, metrics).first()
     if not row["complete"]:
         raise ValueError(f"{row['n_found']} estimate rows where {row['n_expected']} are expected")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold import codebook as cb
 from tallyfold.functions.replicates import SurveyDesign, base, spread_se
-from tallyfold.operators.cube import with_rest
 
 
 def within_tolerance(left: Column, right: Column, tolerance: float = cb.COMPARE_TOLERANCE) -> Column:
@@ -48,11 +49,34 @@ def assert_within(compared: DataFrame) -> None:
         raise ValueError(f"estimates differ from the published tables, for example {bad}")
 
 
-def group_sides(domain: DataFrame) -> DataFrame:
-    """Sums of each known group and of its rest, both non-empty."""
-    grouped = domain.where("kind = 'group'")
-    sides = with_rest(grouped, ["week_num", "geo_type", "geography"], "race_var")
-    return sides.where(F.col("race_var").isNotNull() & (F.col("n") > 0) & (F.col("rest_n") > 0))
+def respondent_sides(df: DataFrame, design: SurveyDesign, areas: Sequence[str], metrics: Sequence[str] = cb.METRICS,
+                     groups: Sequence[str] = cb.GROUPS) -> DataFrame:
+    """Sums of each known group and of its rest, both non-empty, added up from respondents by SQL alone.
+
+    ``areas`` are the geography types: state, msa, national. Nothing is shared with the cube: answers are unpivoted
+    and every weight is a sum of its own; the rest is what the whole has beside the group. The number of sums is above
+    Spark's default for generated code, which ``session.build_session`` raises.
+    """
+    place = {"state": F.col("state"), "msa": F.col("cbsa_title"), "national": F.lit("US")}
+    long = df.select("week_num", "race", "state", "cbsa_title", *design.columns, F.inline(F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("x")) for m in metrics]))).where("x is not null")
+    placed = long.select("week_num", "race", "metric", "x", *design.columns, F.inline(F.array(*[
+        F.struct(F.lit(a).alias("geo_type"), place[a].alias("geography")) for a in areas]))).where("geography is not null")
+    keys = ("week_num", "metric", "geo_type", "geography")
+    sums = {f"{kind}_{i}": F.sum(F.col(w) * F.col("x") if kind == "num" else F.col(w))
+            for i, w in enumerate(design.columns) for kind in ("num", "den")}
+    sums["n"] = F.count("x")
+    by_race = placed.groupBy(*keys, "race").agg(*[c.alias(k) for k, c in sums.items()])
+    whole = by_race.groupBy(*keys).agg(*[F.sum(k).alias(f"all_{k}") for k in sums])
+    both = by_race.where(F.col("race").isin(*groups)).join(whole, list(keys)).where("n > 0 and all_n > n")
+
+    def array(kind: str, rest: bool) -> Column:
+        own = [F.col(f"{kind}_{i}") for i in range(len(design.columns))]
+        return F.array(*[F.col(f"all_{kind}_{i}") - c if rest else c for i, c in enumerate(own)])
+
+    return both.select(
+        *keys, F.col("race").alias("race_var"), "n", (F.col("all_n") - F.col("n")).alias("rest_n"),
+        *[array(kind, rest).alias(f"rest_{kind}" if rest else kind) for rest in (False, True) for kind in ("num", "den")])
 
 
 SIDE_KEYS = ("week_num", "metric", "geo_type", "geography", "race_var")
@@ -94,9 +118,9 @@ def _agree(diff: Column, se: Column, digits: int) -> Column:
 def manual_contrasts(sides: DataFrame, design: SurveyDesign) -> DataFrame:
     """Group minus rest and total minus group from replicates in long form.
 
-    An independent path: a row per replicate, and the variance as 4/R times
-    the sum of squared distances. Runs on domains, whose number does not grow
-    with the respondents.
+    A row per replicate, and the variance as 4/R times the sum of squared
+    distances. With the sides of ``respondent_sides`` nothing comes from the
+    cube that is checked. The number of rows does not grow with the respondents.
     """
     first = {c: F.get(c, F.lit(0)) for c in ("num", "den", "rest_num", "rest_den")}
 

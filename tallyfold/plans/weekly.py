@@ -8,7 +8,7 @@ replaces that week only.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,13 +65,18 @@ def clean_weeks(spark: SparkSession, landing: Landing, weeks: Iterable[int], out
 def estimate_weeks(spark: SparkSession, out: str, design: SurveyDesign, count: int = 2,
                    options: es.EstimateOptions = es.EstimateOptions(), verify: bool = True) -> None:
     """Estimates of the latest weeks into the two histories: with one income metric, and with two."""
-    latest = es.latest_weeks(spark.read.parquet(f"{out}/microdata"), count)
-    feature = es.feature_output(es.estimation_input(latest), design, literals.week_dates(spark), options)
+    microdata = spark.read.parquet(f"{out}/microdata")
+    # from the partition names: the weeks of the run, and all areas of the table for those that miss one of them
+    last = microdata.agg(F.max("week")).first()[0]
+    weeks = [f"wk{w}" for w in range(last - count + 1, last + 1)]
+    options = replace(options, weeks=weeks)
+    places = es.areas(microdata)
+    latest = microdata.where(F.col("week") > last - count)
+    feature = es.feature_output(es.estimation_input(latest), design, literals.week_dates(spark), options, places)
     sinks.overwrite_periods(feature, f"{out}/estimates_feature")
-    week = F.substring("week_num", 3, 9).cast("int")
-    stored = es.latest_weeks(spark.read.parquet(f"{out}/estimates_feature").withColumn("week", week), count).drop("week")
+    stored = spark.read.parquet(f"{out}/estimates_feature").where(F.col("week_num").isin(*weeks))
     if verify:
-        es.assert_complete(stored, options.metrics)
+        es.assert_complete(stored, places, weeks, options.metrics)
     sinks.overwrite_periods(es.relabel_split_metric(stored), f"{out}/estimates")
 
 

@@ -421,7 +421,11 @@ def relabel_split_metric(spark, d):
 
 @query
 def expected_grid_count(spark, d):
-    return es.expected_grid_count(_estimate(spark, d, es.GEO_GROUP, es.GEO_TOTAL))
+    weeks = [f"wk{w}" for w in WEEKS]
+    places = rs.states(spark, d).select(F.lit("state").alias("geo_type"), F.col("state").alias("geography")).union(
+        rs.metros(spark, d).select(F.lit("msa"), "cbsa_title"))
+    options = es.EstimateOptions(families=(es.GEO_GROUP, es.GEO_TOTAL), weeks=weeks)
+    return es.expected_grid_count(es.estimate(rs.survey(spark, d), rs.DESIGN, options, places), places, weeks)
 
 
 # checks --------------------------------------------------------------------
@@ -462,29 +466,43 @@ def qc_tolerance(spark, d):
     return qc.failing(_compared(spark, d))
 
 
-def _sides_and_estimates(spark, d, *families):
-    options = es.EstimateOptions(families=families)
-    domain = es.domains(rs.survey(spark, d), rs.DESIGN, options)
-    return qc.group_sides(domain), es.dense(es.contrasts(domain, rs.DESIGN), options)
+def _sides_and_estimates(spark, d, *areas):
+    """Sums from the respondents, and the estimates to be checked, which come from the cube."""
+    df = rs.survey(spark, d)
+    families = [es.US_GROUP if a == es.NATIONAL else es.GEO_GROUP for a in areas]
+    options = es.EstimateOptions(families=tuple(dict.fromkeys(families)))
+    return qc.respondent_sides(df, rs.DESIGN, areas), es.estimate(df, rs.DESIGN, options)
 
 
 @query
 def qc_weighted_regression(spark, d):
-    sides, estimates = _sides_and_estimates(spark, d, es.GEO_GROUP)
+    sides, estimates = _sides_and_estimates(spark, d, "state", "msa")
     df = qc.regression_check(sides, estimates, rs.DESIGN)
     return rounded(df, "slope", "slope_se", "diff_mean", "diff_se")
 
 
+MANUAL = ("group_rest", "group_rest_se", "diff_mean", "diff_se")
+
+
 @query
 def qc_manual_se(spark, d):
-    sides, estimates = _sides_and_estimates(spark, d, es.US_GROUP)
+    sides, estimates = _sides_and_estimates(spark, d, es.NATIONAL)
+    df = qc.manual_check(qc.manual_contrasts(sides, rs.DESIGN), estimates)
+    return rounded(df.select(*qc.SIDE_KEYS, *MANUAL, "agree"), *MANUAL)
+
+
+@query
+def qc_manual_geo(spark, d):
+    sides, estimates = _sides_and_estimates(spark, d, "state", "msa")
     df = qc.manual_check(qc.manual_contrasts(sides, rs.DESIGN), estimates)
-    return rounded(df.select(*qc.SIDE_KEYS, "group_rest", "group_rest_se", "diff_mean", "diff_se", "agree"),
-                   "group_rest", "group_rest_se", "diff_mean", "diff_se")
+    # a t value is the ratio of two rounded numbers here, so that engines agree on it
+    t = F.try_divide(tidy(F.col("total_group")), tidy(F.col("total_group_se")))
+    kept = df.select(*qc.SIDE_KEYS, *MANUAL, "agree", F.when(tidy(F.col("total_group_se")) > 1e-3, t).alias("total_group_t"))
+    return rounded(kept, *MANUAL).withColumn("total_group_t", F.round("total_group_t", 4) + 0.0)
 
 
 @query
 def contrast_group_vs_total(spark, d):
-    sides, _ = _sides_and_estimates(spark, d, es.GEO_GROUP, es.US_GROUP)
+    sides = qc.respondent_sides(rs.survey(spark, d), rs.DESIGN, ("state", "msa", es.NATIONAL))
     df = qc.manual_contrasts(sides, rs.DESIGN)
     return rounded(df.select(*qc.SIDE_KEYS, "total_group", "total_group_se"), "total_group", "total_group_se")

@@ -326,12 +326,12 @@ def _regression() -> str:
             f" {_spread(lambda r: f's{r}')} as slope_se from slopes)")
 
 
-def _versus_total() -> str:
+def _versus_total(placed: str = EVERYWHERE) -> str:
     def term(r: int) -> str:
         return f"d{r}"
 
     diffs = ", ".join(f"(a{r}_1 + a{r}_0) / (b{r}_1 + b{r}_0) - t{r} as d{r}" for r in range(R + 1))
-    return (f"{EST}, {_group_contrasts(EVERYWHERE)}, vs as (select week_num, geo_type, geography, metric, race_var, {diffs}"
+    return (f"{EST}, {_group_contrasts(placed)}, vs as (select week_num, geo_type, geography, metric, race_var, {diffs}"
             f" from thetas where {BOTH}), out as (select week_num, metric, geo_type, geography, race_var,"
             f" {r6('d0')} as total_group, {r6(_spread(term))} as total_group_se from vs)")
 
@@ -489,9 +489,12 @@ def sql() -> dict[str, str]:
             " date_int, 0.0 from dated where metric = 'inc_loss' union all"
             " select geography, metric, week_num, race_var, null, 0.0, 0.0, null, null, geo_type, null, date_int, 1.0"
             " from dated where metric = 'inc_loss'"),
-        "expected_grid_count": _from(f"{EST}, {PLACED.format('est')}, p as (select distinct week_num, geo_type, geography from placed)",
-                                     "select (count(*) * 21 * 6)::bigint as n_found, (count(*) * 21 * 6)::bigint as n_expected,"
-                                     " true as complete from p"),
+        "expected_grid_count": _from(
+            f"{EST}, {PLACED.format('est')}, p as (select n_name as place from nation union all select r_name from region),"
+            " hits as (select distinct geo_type, geography from placed where geography is not null)",
+            f"select (select count(*) from p) * {21 * 6 * (rs.LAST_WEEK - rs.FIRST_WEEK + 1)}::bigint as n_found,"
+            f" (select count(*) from p) * {21 * 6 * (rs.LAST_WEEK - rs.FIRST_WEEK + 1)}::bigint as n_expected,"
+            " (select count(*) from hits) <= (select count(*) from p) as complete"),
         "benchmark_race_rows": _from(_lines(), "select table_name, week, geography, line_no, variable, "
                                      + cols(f"round(c{i}, 2) + 0.0 as c{i}" for i in range(1, cb.BENCHMARK_MAX_COLUMNS + 1))
                                      + " from lines"),
@@ -504,11 +507,24 @@ def sql() -> dict[str, str]:
         "qc_weighted_regression": _from(
             _regression(),
             f"select week_num, metric, geo_type, geography, race_var, {r6('slope')} as slope, {r6('slope_se')} as slope_se,"
-            f" {r6('diff_mean')} as diff_mean, {r6('diff_se')} as diff_se, true as agree"
+            f" {r6('diff_mean')} as diff_mean, {r6('diff_se')} as diff_se,"
+            " abs(abs(slope) - abs(diff_mean)) < 1e-4 and abs(slope_se - diff_se) < 1e-4 as agree"
             " from fitted join con using (week_num, metric, geo_type, geography, race_var)"),
         "qc_manual_se": _from(f"{EST}, {_group_contrasts(NATION)}",
                               f"select week_num, metric, geo_type, geography, race_var, {r6('-diff_mean')} as group_rest,"
                               f" {r6('diff_se')} as group_rest_se, {r6('diff_mean')} as diff_mean, {r6('diff_se')} as diff_se,"
-                              " true as agree from con where mean is not null"),
+                              " abs(t0_1 - t0_0 + diff_mean) < 1e-8 as agree from con"
+                              " join (select week_num, metric, geo_type, geography, race_var, a0_1 / b0_1 as t0_1, a0_0 / b0_0 as t0_0"
+                              f" from thetas where {BOTH}) using (week_num, metric, geo_type, geography, race_var)"
+                              " where mean is not null"),
+        "qc_manual_geo": _from(
+            f"{_versus_total(PLACED)}",
+            f"select week_num, metric, geo_type, geography, race_var, {r6('-diff_mean')} as group_rest,"
+            f" {r6('diff_se')} as group_rest_se, {r6('diff_mean')} as diff_mean, {r6('diff_se')} as diff_se,"
+            " abs(t0_1 - t0_0 + diff_mean) < 1e-8 as agree,"
+            " case when total_group_se > 1e-3 then round(total_group / total_group_se, 4) + 0.0 end as total_group_t"
+            " from con join out using (week_num, metric, geo_type, geography, race_var)"
+            " join (select week_num, metric, geo_type, geography, race_var, a0_1 / b0_1 as t0_1, a0_0 / b0_0 as t0_0"
+            f" from thetas where {BOTH}) using (week_num, metric, geo_type, geography, race_var) where mean is not null"),
         "contrast_group_vs_total": _from(_versus_total(), "select * from out"),
     }

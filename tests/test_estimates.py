@@ -1,4 +1,5 @@
 import math
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -130,11 +131,22 @@ def test_relabel_moves_the_income_metric(spark):
 
 
 def test_complete_grid_passes_and_a_gap_raises(spark):
-    estimates = es.estimate(frame(spark, people()), DESIGN, ALL)
-    row = es.expected_grid_count(estimates, METRICS, GROUPS).first()
-    assert row["n_found"] == row["n_expected"] == len(METRICS) * 4 * 6 * 2
+    rows = [p for p in people() if not (p["state"] == "CC" and p["week_num"] == "wk14")]
+    weeks = ["wk13", "wk14"]
+    df = frame(spark, rows)
+    places = es.areas(df).union(spark.createDataFrame([("state", "DD")], "geo_type string, geography string"))
+    n = len(METRICS) * 4 * 6 * 2  # four states, one of them empty and one missing in a week, and two metros
+    whole = es.estimate(df, DESIGN, replace(ALL, weeks=weeks, families=(es.GEO_GROUP, es.GEO_TOTAL)), places)
+    row = es.expected_grid_count(whole, places, weeks, METRICS, GROUPS).first()
+    assert (row["n_found"], row["n_expected"], row["complete"]) == (n, n, True)
+    empty = whole.where("geography = 'CC' and week_num = 'wk14'").collect()
+    assert len(empty) == len(METRICS) * 4 and all(r["mean"] is None and r["se"] == 0 for r in empty)
+    # without the list of weeks and places the gaps are found
+    gaps = es.estimate(df, DESIGN, replace(ALL, families=(es.GEO_GROUP, es.GEO_TOTAL)))
+    row = es.expected_grid_count(gaps, places, weeks, METRICS, GROUPS).first()
+    assert row["n_found"] < row["n_expected"] == n and not row["complete"]
     with pytest.raises(ValueError):
-        es.assert_complete(estimates, METRICS)
+        es.assert_complete(gaps, places, weeks, METRICS)
 
 
 def test_latest_weeks(spark):
@@ -155,9 +167,8 @@ def test_income_questions_meet_and_age_cut(spark):
 def test_regression_and_manual_formula_agree_with_the_contrasts(spark):
     df = frame(spark, people())
     options = es.EstimateOptions(metrics=METRICS, groups=GROUPS, families=(es.GEO_GROUP, es.US_GROUP))
-    domain = es.domains(df, DESIGN, options)
-    sides = qc.group_sides(domain)
-    estimates = es.dense(es.contrasts(domain, DESIGN), options)
+    sides = qc.respondent_sides(df, DESIGN, ("state", "msa", "national"), METRICS, GROUPS)
+    estimates = es.estimate(df, DESIGN, options)
     for checked in (qc.regression_check(sides, estimates, DESIGN),
                     qc.manual_check(qc.manual_contrasts(sides, DESIGN), estimates)):
         flags = [r["agree"] for r in checked.collect()]
@@ -166,11 +177,21 @@ def test_regression_and_manual_formula_agree_with_the_contrasts(spark):
     assert opposite.count() == 0
 
 
+def test_checks_find_a_wrong_cube(spark):
+    df = frame(spark, people())
+    options = es.EstimateOptions(metrics=METRICS, groups=GROUPS, families=(es.GEO_GROUP, es.US_GROUP))
+    sides = qc.respondent_sides(df, DESIGN, ("state", "msa", "national"), METRICS, GROUPS)
+    domain = es.domains(df, DESIGN, options)
+    shifted = domain.withColumn("num", F.when(F.col("race_var") == "black", F.transform("num", lambda v: v * 1.01)).otherwise(F.col("num")))
+    wrong = es.dense(es.contrasts(shifted, DESIGN), options)
+    for checked in (qc.regression_check(sides, wrong, DESIGN), qc.manual_check(qc.manual_contrasts(sides, DESIGN), wrong)):
+        flags = {(r["metric"], r["race_var"]): r["agree"] for r in checked.where("geo_type = 'national'").collect()}
+        assert not flags["m_plain", "black"]
+
+
 def test_group_versus_total_by_hand(spark):
     rows = people()
-    domain = es.domains(frame(spark, rows), DESIGN, es.EstimateOptions(metrics=METRICS, groups=GROUPS,
-                                                                      families=(es.US_GROUP,)))
-    found = keyed(qc.manual_contrasts(qc.group_sides(domain), DESIGN))
+    found = keyed(qc.manual_contrasts(qc.respondent_sides(frame(spark, rows), DESIGN, ("national",), METRICS, GROUPS), DESIGN))
     here = [p for p in rows if p["week_num"] == "wk13"]
     total, own = brute.thetas(here, "m_plain"), brute.thetas([p for p in here if p["race"] == "black"], "m_plain")
     diff = [t - o for t, o in zip(total, own)]
