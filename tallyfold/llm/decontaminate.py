@@ -76,4 +76,4 @@ def contained(docs: DataFrame, benchmark: DataFrame, percent: int = 75) -> DataF
 def decontaminate(docs: DataFrame, benchmark: DataFrame, percent: int = 75) -> DataFrame:
     """``docs`` without those that contain an item."""
     leaks = settle(contained(docs, benchmark, percent).select(F.col("doc_id").alias("leak_id")).distinct())
-    return docs.join(small(leaks, BROADCAST_ROWS), docs["doc_id"] == F.col("leak_id"), "left_anti")
+    return docs.join(small(leaks, BROADCAST_ROWS), docs["doc_id"] == leaks["leak_id"], "left_anti")

@@ -29,11 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.llm.store import settle
-from tallyfold.llm.words import encoded, mix, odd_numbers, words_of
+from tallyfold.llm.words import encoded, mix, odd_numbers, slices, words_of_many
 
 CHUNK_BYTES = 8 << 20
 GRID = 8
 ROUNDS = 60
+#: Bytes of packed totals whose cells are counted at once.
+TOKENS_AT_ONCE = 1 << 20
 _END, _PAIR, _NEXT = odd_numbers(3, 21)
 #: Share of a token that the training data had nowhere else, on the grid.
 NEVER = -(1 << 20)
@@ -66,7 +68,7 @@ class Chunk:
     def __init__(self, rows: pd.DataFrame, of: int, rest: int):
         self.doc_ids = [None if pd.isna(d) else int(d) for d in rows["doc_id"]]
         self.held = np.array([is_held_out(d, of, rest) for d in self.doc_ids], bool)
-        words = words_of(encoded(rows["text"]))
+        words = words_of_many(encoded(rows["text"]))
         n = len(rows)
         self.bounds = words.bounds + np.arange(n + 1)
         word = np.full(self.bounds[-1], _END)
@@ -155,19 +157,18 @@ def deleted_cells(tokens: DataFrame, n_words: int, n_docs: int) -> pd.DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if not len(batch):
-                continue
-            words = [unpack_ints(w).astype(np.int64) for w in batch["word_totals"]]
-            context = np.concatenate([contexts(w, n_docs) for w in words]) - 1
-            word = np.concatenate(words) - 1
-            pair = np.concatenate([unpack_ints(p).astype(np.int64) for p in batch["pair_totals"]]) - 1
-            shares = []
-            for part, whole in ((pair, context), (word, np.int64(n_words - 1))):
-                some = (part > 0) & (whole > 0)
-                share = np.log2(np.where(some, part, 1) / np.where(some, whole, 1))
-                shares.append(np.where(some, np.rint(share * GRID), NEVER).astype(np.int64))
-            cells = pd.DataFrame({"bucket": bucket_of(context), "pair": shares[0], "word": shares[1]})
-            yield cells.groupby(["bucket", "pair", "word"]).size().rename("n").reset_index()
+            for a, b in slices([len(w) for w in batch["word_totals"]], TOKENS_AT_ONCE):
+                words = [unpack_ints(w).astype(np.int64) for w in batch["word_totals"].iloc[a:b]]
+                context = np.concatenate([contexts(w, n_docs) for w in words]) - 1
+                word = np.concatenate(words) - 1
+                pair = np.concatenate([unpack_ints(p).astype(np.int64) for p in batch["pair_totals"].iloc[a:b]]) - 1
+                shares = []
+                for part, whole in ((pair, context), (word, np.int64(n_words - 1))):
+                    some = (part > 0) & (whole > 0)
+                    share = np.log2(np.where(some, part, 1) / np.where(some, whole, 1))
+                    shares.append(np.where(some, np.rint(share * GRID), NEVER).astype(np.int64))
+                cells = pd.DataFrame({"bucket": bucket_of(context), "pair": shares[0], "word": shares[1]})
+                yield cells.groupby(["bucket", "pair", "word"]).size().rename("n").reset_index()
 
     rows = tokens.where("not held_out").select("word_totals", "pair_totals")
     return rows.mapInPandas(run, "bucket int, pair int, word int, n long").groupBy("bucket", "pair", "word").agg(
@@ -194,7 +195,7 @@ def learn_weights(cells: pd.DataFrame, n_words: int, n_kinds: int) -> np.ndarray
 
 def score_texts(docs: DataFrame, of: int = 7, rest: int = 2) -> DataFrame:
     """Scores of every row, learned from rows whose crc32 of the doc_id's text mod ``of`` is not ``rest``."""
-    tokens = settle(token_totals(docs, of, rest))
+    tokens = settle(token_totals(docs, of, rest), "zstd")
     n_words, n_kinds, n_docs = (int(x or 0) for x in tokens.agg(F.sum("n_words"), F.sum("n_kinds"), F.sum("n_docs")).first())
     texts = tokens.where("n_tokens is not null")
     weights = learn_weights(deleted_cells(texts, n_words, n_docs), n_words, n_kinds)

@@ -5,11 +5,13 @@
 2. Stars: in every band's bucket each class is a candidate with the bucket's least class, if sizes and sketches do
    not rule a link out. Candidates are confirmed on the full sets. Components of the confirmed links follow.
 3. Crossings: buckets that hold classes of two or more components give the pairs between different components, so
-   no pair within a component is made. They are confirmed alike, and the components are joined.
+   no pair within a component is made. Shingles that only one of these classes has are counted first: they cannot be
+   shared, which rules out, exactly, most classes that a large group of near copies has lost by too many changes. What
+   is left is confirmed alike, and the components are joined.
 
 A link of similarity 0.75 shares no bucket with probability (1 - 0.75 ** 4) ** 32 = 5e-6, and fails the sketch test
 with about 1e-6. Nothing is cut off: a pair that shares a bucket is confirmed, lies within a confirmed component, or
-was ruled out by sizes or sketches.
+was ruled out by sizes, own shingles or sketches.
 
 Defined cases: null or empty texts have an empty set and are linked with nothing; a text of fewer than five words has
 one shingle, its whole sequence; rows with equal doc_id count as one node; a null doc_id is null in the result, each
@@ -95,12 +97,32 @@ def _may_link(a: str, b: str, percent: int) -> Column:
     return sizes & (differ <= MOST_BITS)
 
 
+def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(
+        small(ids), "doc_id", "left_semi")
+
+
+def _shareable(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id, n_own: shingles that no other of the documents has."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            texts, keys = encoded(batch["text"]), batch["doc_id"].to_numpy()
+            for a, b in slices([len(t) for t in texts]):
+                sets = shingle_sets(words_of(texts[a:b]))
+                owner = np.repeat(keys[a:b], [len(s) for s in sets])
+                kinds, first, n = np.unique(np.concatenate(sets), return_index=True, return_counts=True)
+                yield pd.DataFrame({"shingle": kinds.view(np.int64), "n": n, "doc_id": owner[first]})
+
+    counts = _texts_of(docs, ids).mapInPandas(run, "shingle long, n long, doc_id long").groupBy("shingle").agg(
+        F.sum("n").alias("n"), F.min("doc_id").alias("doc_id"))
+    return counts.where("n = 1").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_own"))
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Those of the (a, b) pairs whose full sets have the similarity."""
     ids = settle(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
-    # one text for each doc_id, as describe() has it after the classes are formed
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(
-        small(ids), "doc_id", "left_semi")
+    texts = _texts_of(docs, ids)
     both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").join(
         texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
 
@@ -129,7 +151,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
         F.min_by(F.struct("doc_id", "n_shingles", "bands", *SKETCH), "doc_id").alias("own")).select("set_a", "set_b", "own.*"))
     stars = _confirmed(_star_pairs(classes, percent), docs, percent)
     first = settle(components(stars))
-    crossings = _confirmed(_crossing_pairs(classes, first, percent), docs, percent)
+    crossings = _confirmed(_crossing_pairs(classes, first, docs, percent), docs, percent)
     # a doc_id on several rows may belong to several classes, which are then one
     owned = full.join(classes.select("set_a", "set_b", F.col("doc_id").alias("own")), ["set_a", "set_b"]).select("doc_id", "own")
     several = owned.groupBy("doc_id").agg(F.min("own").alias("low"), F.max("own").alias("high")).where("low < high")
@@ -157,7 +179,7 @@ def _star_pairs(classes: DataFrame, percent: int) -> DataFrame:
         F.col("c.doc_id").alias("a"), F.col("r.doc_id").alias("b")).distinct())
 
 
-def _crossing_pairs(classes: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+def _crossing_pairs(classes: DataFrame, found: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Pairs in a bucket from different components. The component with most classes in a bucket is set apart, so that
     its classes meet only those of others."""
     placed = settle(classes.join(found, classes["doc_id"] == found["node"], "left").select(
@@ -167,11 +189,16 @@ def _crossing_pairs(classes: DataFrame, found: DataFrame, percent: int) -> DataF
     inside = settle(rows.join(mixed.select("band", "key"), ["band", "key"]))
     main = inside.groupBy("band", "key", "part").agg(F.count(F.lit(1)).alias("n")).groupBy("band", "key").agg(
         F.max(F.struct("n", "part")).alias("top")).select("band", "key", F.col("top.part").alias("main"))
-    marked = settle(inside.join(main, ["band", "key"]))
+    ids = settle(inside.select("doc_id").distinct())
+    own = settle(_shareable(docs, ids))
+    marked = settle(inside.join(main, ["band", "key"]).join(small(own), "doc_id", "left").withColumn(
+        "shareable", F.col("n_shingles") - F.coalesce("n_own", F.lit(0))))
+    # a similarity of percent / 100 takes percent / (100 + percent) of both sizes together as shared shingles
+    enough = F.least("x.shareable", "y.shareable") * (100 + percent) >= (F.col("x.n_shingles") + F.col("y.n_shingles")) * percent
     others = marked.where("part <> main")
     met = [(others, marked.where("part = main"), F.lit(True)), (others, others, F.col("x.part") < F.col("y.part"))]
     pairs = [x.alias("x").join(y.alias("y"), (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key"))
-                               & order & _may_link("x", "y", percent)).select(
+                               & order & enough & _may_link("x", "y", percent)).select(
         F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")) for x, y, order in met]
     out = settle(pairs[0].union(pairs[1]).distinct())
     forget(placed, inside, marked)
@@ -187,9 +214,9 @@ def drop_near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     gone = settle(found.where("not kept").select(F.col("doc_id").alias("gone")).distinct())
     twice = settle(found.where("doc_id is not null and n_shingles > 0").groupBy("doc_id").count().where("count > 1").select(
         F.col("doc_id").alias("twice")))
-    left = docs.join(small(gone), docs["doc_id"] == F.col("gone"), "left_anti")
-    once = left.join(small(twice), left["doc_id"] == F.col("twice"), "left_anti")
-    more = left.join(small(twice), left["doc_id"] == F.col("twice"), "left_semi")
+    left = docs.join(small(gone), docs["doc_id"] == gone["gone"], "left_anti")
+    once = left.join(small(twice), left["doc_id"] == twice["twice"], "left_anti")
+    more = left.join(small(twice), left["doc_id"] == twice["twice"], "left_semi")
     packed = more.select(F.struct(*[more[c] for c in docs.columns]).alias("doc"), F.col("doc_id").alias("key"))
     one = packed.groupBy("key").agg(F.first("doc").alias("doc")).select("doc.*")
     return once.union(one)

@@ -2,7 +2,7 @@
 
 References are gathered from all documents: for every language the shares of character classes, and of its common
 words, which are the words that make up COMMON_SHARE of its words or more (so there are 1 / COMMON_SHARE at most). Such
-a word has that share in at least one slice of the texts, so slices name candidates and a second pass counts them.
+a word has that share in at least one part of the texts, so parts name candidates and a second pass counts them.
 A document is rejected if the Jensen-Shannon distance of one of its histograms is above its limit for its own
 language and for every other, as a language may be named wrongly. Short texts, and languages of which little is
 known, are not judged that way.
@@ -28,6 +28,8 @@ from tallyfold.llm.store import settle
 from tallyfold.llm.words import SHINGLE, encoded, slices, windows, words_of
 
 COMMON_SHARE = 0.002
+#: Words of a language after which a task names its candidates.
+PART_WORDS = 500_000
 #: Distances (0 to 1) above which a document is rejected, and the characters or words it must have to be judged.
 CHAR_LIMIT, WORD_LIMIT = 0.33, 0.45
 LEAST_CHARS, LEAST_WORDS = 200, 100
@@ -83,28 +85,43 @@ def references(docs: DataFrame) -> dict:
     rows = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
 
     def candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict = {}
+
+        def common(lang) -> pd.DataFrame:
+            found = held.pop(lang)
+            least = COMMON_SHARE * found.total()
+            words = [w for w, n in found.items() if n >= least]
+            return pd.DataFrame({"lang": pd.Series([lang] * len(words), dtype=object), "word": pd.Series(words, dtype=object)})
+
         for batch in batches:
             for lang, texts in _by_lang(batch):
-                found = Counter(w for t in texts for w in t.split())
-                least = COMMON_SHARE * found.total()
-                words = [w for w, n in found.items() if n >= least]
-                yield pd.DataFrame({"lang": [lang] * len(words), "word": words})
+                found = held.setdefault(lang, Counter())
+                for t in texts:
+                    found.update(t.split())
+                if found.total() >= PART_WORDS:
+                    yield common(lang)
+        for lang in list(held):
+            yield common(lang)
 
     named: dict = {}
     for r in rows.mapInPandas(candidates, "lang string, word binary").distinct().collect():
         named.setdefault(r["lang"], set()).add(bytes(r["word"]))
 
     def counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict = {}  # of a task: no more words than candidates
         for batch in batches:
             for lang, texts in _by_lang(batch):
-                words = [w for t in texts for w in t.split()]
+                own = held.setdefault(lang, [0, np.zeros(N_CLASSES, np.int64), Counter()])
                 wanted = named.get(lang, ())
-                found = Counter(w for w in words if w in wanted)
-                chars = sum((char_counts(t) for t in texts), np.zeros(N_CLASSES, np.int64))
-                kinds = ["all"] + ["char"] * N_CLASSES + ["word"] * len(found)
-                keys = [b""] + [b"%d" % i for i in range(N_CLASSES)] + list(found)
-                yield pd.DataFrame({"lang": [lang] * len(kinds), "kind": kinds, "key": keys,
-                                    "n": [len(words), *chars.tolist(), *found.values()]})
+                for t in texts:
+                    words = t.split()
+                    own[0] += len(words)
+                    own[1] += char_counts(t)
+                    own[2].update([w for w in words if w in wanted])
+        for lang, (n, chars, found) in held.items():
+            kinds = ["all"] + ["char"] * N_CLASSES + ["word"] * len(found)
+            keys = [b""] + [b"%d" % i for i in range(N_CLASSES)] + list(found)
+            yield pd.DataFrame({"lang": [lang] * len(kinds), "kind": kinds, "key": keys, "n": [n, *chars.tolist(), *found.values()]})
 
     out: dict = {}
     summed = rows.mapInPandas(counts, "lang string, kind string, key binary, n long").groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,11 +22,23 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def settle(df: DataFrame) -> DataFrame:
+@contextmanager
+def arrow_rows(spark: SparkSession, n: int):
+    """Jobs run inside hand ``n`` rows at once to Python, where rows are long."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
+
+
+def settle(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """``df`` written to the shared folder and read back: a lost executor costs no recomputation before it."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tallyfold-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     out = spark.read.schema(df.schema).parquet(path)
     out.settled_at = path
     return out

@@ -23,14 +23,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyfold.llm.store import settle, small
-from tallyfold.llm.words import SLICE_BYTES, encoded, slices
+from tallyfold.llm.words import SLICE_BYTES, encoded, slices, words_of
 
 CHUNK_BITS, BLOCK_WORDS = 8, 8
 MAGIC = b"DAC1"
 #: A segment is closed when it has as many tokens.
 SEGMENT_TOKENS = 1 << 20
 #: Words whose ids a worker remembers; it forgets all when there are more.
-REMEMBERED_WORDS = 1_000_000
+REMEMBERED_WORDS = 800_000
+#: Word that is put between words which are tokenized together, and how many of those there are.
+MARK, JOIN, AT_ONCE = b"\x00", " \x00 ", 4000
+STOPS = b".,;:!?"
 SEGMENT = "part int, seq int, n_tokens long, doc_ids array<long>, sizes array<long>, payload binary"
 
 
@@ -99,13 +102,15 @@ class Codes:
 class TextEncoder:
     """Ids of texts by the ids of their words, each of which the tokenizer sees once.
 
-    Holds for tokenizers that drop white space and never join characters across it, as the one in use does.
+    Holds for tokenizers that lower all letters, drop white space and never join characters across it, nor a letter or
+    digit with a stop after it, as the one in use does.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        (self.mark,) = self.tokenizer.encode(MARK.decode(), add_special_tokens=False).ids
         self.forget()
 
     def forget(self) -> None:
@@ -114,34 +119,76 @@ class TextEncoder:
         self.begin, self.size = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         self.ids = np.zeros(4096, np.uint32)
 
-    def _learn(self, words: list[bytes]) -> None:
-        new = [w for w in dict.fromkeys(words) if w not in self.index]
-        found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "surrogatepass") for w in new], add_special_tokens=False)
-        lists = [e.ids for e in found]
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter((i for ids in lists for i in ids), np.uint32, int(sizes.sum()))
-        need, used = self.n + len(new), self.used + len(flat)
+    def _add(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
+        need, used = self.n + len(words), self.used + len(ids)
         if need > len(self.begin):
             self.begin, self.size = (np.resize(a, 2 * need) for a in (self.begin, self.size))
         if used > len(self.ids):
             self.ids = np.resize(self.ids, 2 * used)
         self.size[self.n : need] = sizes
         self.begin[self.n : need] = self.used + np.cumsum(sizes) - sizes
-        self.ids[self.used : used] = flat
-        self.index.update(zip(new, range(self.n, need)))
+        self.ids[self.used : used] = ids
+        self.index.update(zip(words, range(self.n, need)))
         self.n, self.used = need, used
 
+    def _tokenize(self, words: list[bytes]) -> None:
+        """New words, many in a text with a mark between them whose id nothing else has."""
+        plain = [w for w in words if MARK not in w]
+        odd = [w for w in words if MARK in w]
+        texts = [w.decode("utf-8", "surrogatepass") for w in plain]
+        joined = [JOIN.join(texts[i : i + AT_ONCE]) for i in range(0, len(texts), AT_ONCE)]
+        found = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)]
+        for i, ids in enumerate(found):
+            own = plain[i * AT_ONCE : (i + 1) * AT_ONCE]
+            cut = np.flatnonzero(ids == self.mark)
+            if len(cut) != len(own) - 1:
+                raise ValueError("the tokenizer does not keep words apart")
+            self._add(own, np.delete(ids, cut), np.diff(np.concatenate([[-1], cut, [len(ids)]])) - 1)
+        for w in odd:
+            ids = self.tokenizer.encode(w.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids
+            self._add([w], np.array(ids, np.uint32), np.array([len(ids)]))
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Capitals and stops of ASCII words are taken off first: the tokenizer lowers all letters and cuts between a
+        letter and a stop, so what is left is known more often."""
+        new = [w for w in words if w not in self.index]
+        composed, simple = [], []
+        for w in new:
+            if w.isascii() and b"<|" not in w:
+                head = w.rstrip(STOPS)
+                if head and len(head) < len(w) and head[-1:].isalnum():
+                    composed.append((w, head.lower(), w[len(head) :]))
+                    continue
+                if (low := w.lower()) != w:
+                    composed.append((w, low, b""))
+                    continue
+            simple.append(w)
+        parts = {p for _, a, b in composed for p in (a, b) if p}
+        self._tokenize(sorted({w for w in (*simple, *parts) if w not in self.index}))
+        if composed:
+            pieces = [[self.index[p] for p in (a, b) if p] for _, a, b in composed]
+            flat = np.array([i for p in pieces for i in p])
+            counts = self.size[flat]
+            ends = np.cumsum(counts)
+            ids = self.ids[np.repeat(self.begin[flat] - ends + counts, counts) + np.arange(int(counts.sum()))]
+            firsts = np.cumsum([0, *map(len, pieces)])[:-1]
+            self._add([w for w, _, _ in composed], ids, np.add.reduceat(counts, firsts))
+
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         if self.n > REMEMBERED_WORDS:
             self.forget()
-        per_text = [t.split() for t in texts]
-        words = [w for own in per_text for w in own]
-        self._learn(words)
-        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        words = words_of(texts, lower=False)
+        if not len(words.hash):
+            return [np.zeros(0, np.uint32) for _ in texts]
+        _, first, which = np.unique(words.hash, return_index=True, return_inverse=True)
+        text = np.searchsorted(words.bounds, first, "right") - 1
+        own = [texts[d][s : s + n] for d, s, n in zip(text.tolist(), words.start[first].tolist(), words.size[first].tolist())]
+        self._learn(own)
+        at = np.fromiter(map(self.index.__getitem__, own), np.int64, len(own))[which]
         sizes = self.size[at]
         ends = np.cumsum(sizes)
         ids = self.ids[np.repeat(self.begin[at] - ends + sizes, sizes) + np.arange(int(sizes.sum()))]
-        cuts = np.concatenate([[0], ends])[np.cumsum([0, *map(len, per_text)])]
+        cuts = np.concatenate([[0], ends])[words.bounds]
         return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
 
 

@@ -82,6 +82,14 @@ def words_of(texts: list[bytes], lower: bool = True) -> Words:
     return Words(mix(total + size.astype(np.uint64) * _BASE), own, size, bounds)
 
 
+def words_of_many(texts: list[bytes]) -> Words:
+    """As words_of, slice by slice: what it holds beside the result does not grow with the texts."""
+    parts = [words_of(texts[a:b]) for a, b in slices([len(t) for t in texts])] or [words_of([])]
+    shifts = np.cumsum([0, *[len(p.hash) for p in parts]])
+    bounds = [np.zeros(1, np.int64), *[p.bounds[1:] + n for p, n in zip(parts, shifts)]]
+    return Words(*[np.concatenate([p[i] for p in parts]) for i in range(3)], np.concatenate(bounds))
+
+
 def windows(words: Words, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Hash of the ``k`` words from each place, and which places have as many in their own text."""
     h, n = words.hash, len(words.hash)
