@@ -28,12 +28,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.llm.components import components
-from tallyfold.llm.store import forget, settle, small
+from tallyfold.llm.store import arrow_rows, forget, settle, small
 from tallyfold.llm.words import encoded, mix, odd_numbers, shingle_sets, slices, words_of
 
 MINIMA, BANDS, BAND_ROWS = 256, 32, 4
 #: Of 256 sketch bits, those that may differ: 32 are expected at a similarity of 0.75, with a deviation of 5.3.
 MOST_BITS = 60
+#: Rows with texts that Python gets at once.
+ROWS_AT_ONCE = 2000
 _A, _B = odd_numbers(MINIMA, 11), odd_numbers(MINIMA, 12)
 _BAND = odd_numbers(BANDS, 13)
 SETS = ("doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, "
@@ -140,12 +142,14 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
                     keep.append(100 * shared >= percent * (len(s) + len(t) - shared))
                 yield batch[["a", "b"]].iloc[p:q][np.array(keep, bool)]
 
-    return settle(both.mapInPandas(run, "a long, b long"))
+    with arrow_rows(docs.sparkSession, ROWS_AT_ONCE):
+        return settle(both.mapInPandas(run, "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of ``docs``."""
-    rows = settle(describe(docs))
+    with arrow_rows(docs.sparkSession, ROWS_AT_ONCE):
+        rows = settle(describe(docs))
     full = rows.where("n_shingles > 0 and doc_id is not null")
     classes = settle(full.groupBy("set_a", "set_b").agg(
         F.min_by(F.struct("doc_id", "n_shingles", "bands", *SKETCH), "doc_id").alias("own")).select("set_a", "set_b", "own.*"))
@@ -190,15 +194,18 @@ def _crossing_pairs(classes: DataFrame, found: DataFrame, docs: DataFrame, perce
     main = inside.groupBy("band", "key", "part").agg(F.count(F.lit(1)).alias("n")).groupBy("band", "key").agg(
         F.max(F.struct("n", "part")).alias("top")).select("band", "key", F.col("top.part").alias("main"))
     ids = settle(inside.select("doc_id").distinct())
-    own = settle(_shareable(docs, ids))
+    with arrow_rows(docs.sparkSession, ROWS_AT_ONCE):
+        own = settle(_shareable(docs, ids))
     marked = settle(inside.join(main, ["band", "key"]).join(small(own), "doc_id", "left").withColumn(
-        "shareable", F.col("n_shingles") - F.coalesce("n_own", F.lit(0))))
+        "shareable", F.col("n_shingles") - F.coalesce("n_own", F.lit(0))).join(placed.select("doc_id", "bands"), "doc_id"))
     # a similarity of percent / 100 takes percent / (100 + percent) of both sizes together as shared shingles
     enough = F.least("x.shareable", "y.shareable") * (100 + percent) >= (F.col("x.n_shingles") + F.col("y.n_shingles")) * percent
+    # a pair that shares several bands is made in the first of them
+    once = F.array_position(F.zip_with("x.bands", "y.bands", lambda p, q: p == q), True) == F.col("x.band") + 1
     others = marked.where("part <> main")
     met = [(others, marked.where("part = main"), F.lit(True)), (others, others, F.col("x.part") < F.col("y.part"))]
     pairs = [x.alias("x").join(y.alias("y"), (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key"))
-                               & order & enough & _may_link("x", "y", percent)).select(
+                               & order & enough & _may_link("x", "y", percent) & once).select(
         F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")) for x, y, order in met]
     out = settle(pairs[0].union(pairs[1]).distinct())
     forget(placed, inside, marked)
