@@ -3,6 +3,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check import TABLES, compare
+from tallyfold.standin import catalog, oracle
 
 NAMES = ("missing_drift", "outcome_by_answered", "contrast_group_vs_rest", "estimate_national_total",
          "benchmark_ratios")
@@ -16,8 +17,9 @@ def db(sf):
     return con
 
 
-def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+def test_every_query_of_the_survey_has_its_sql():
+    assert set(catalog.QUERIES) == set(oracle.sql()) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_flagship(spark):
