@@ -205,6 +205,35 @@ def test_fuzzy_passages(spark):
     assert (r.doc_id, r.other_id, r.start_word, r.end_word, r.other_start, r.other_end, r.n_changed) == (2, 1, 20, 109, 50, 140, 2)
 
 
+def test_exact_passages_in_the_same_order_at_any_gap(spark):
+    rng = random.Random(21)
+    rows, own = [], []
+    for gap in range(20, 301, 40):
+        for size in (60, 100, 200):
+            one, two = words(rng, size), words(rng, size)
+            for _ in range(2):
+                rows.append((len(rows), " ".join([*words(rng, 30), *one, *words(rng, gap), *two, *words(rng, 30)]), "en", "a", 1))
+            own.append((len(rows) - 1, size, gap))
+    found = defaultdict(set)
+    for r in passages.repeated_passages(spark.createDataFrame(rows, DOCS)).collect():
+        assert r.other_id == r.doc_id - 1 and 4 * r.n_changed <= r.end_word - r.start_word
+        found[r.doc_id].update(range(r.start_word, r.end_word))
+    for i, size, gap in own:
+        assert {*range(30, 30 + size), *range(30 + size + gap, 30 + 2 * size + gap)} <= found[i], (size, gap)
+
+
+def test_distance_of_gaps_is_that_of_the_table():
+    rng = random.Random(5)
+    for _ in range(300):
+        a, b = [[rng.choice("abcd") for _ in range(rng.randint(0, 12))] for _ in range(2)]
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(last + (x != y), row[j] + 1, row[j - 1] + 1)
+        assert passages.edit_distance(a, b) == row[-1]
+
+
 def test_chains_are_the_best_of_all():
     rng = np.random.default_rng(4)
     for trial in range(30):
