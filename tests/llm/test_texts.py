@@ -222,6 +222,33 @@ def test_exact_passages_in_the_same_order_at_any_gap(spark):
         assert {*range(30, 30 + size), *range(30 + size + gap, 30 + 2 * size + gap)} <= found[i], (size, gap)
 
 
+def test_passage_whose_halves_have_other_homes(spark):
+    rng = random.Random(22)
+    rows, own = [], []
+    for size in (50, 53, 60, 90):
+        for over in (0, 7, 30):
+            passage = words(rng, size)
+            first, second = passage[: (size + over) // 2], passage[(size - over) // 2 :]
+            for i, part in enumerate((first, second, passage, passage)):
+                text = [*words(rng, 30), *part, *words(rng, 30)]
+                rows.append((len(rows), " ".join(text), "en", "a", 1))
+            own.append((len(rows) - 1, size, over))
+    found = defaultdict(set)
+    for r in passages.repeated_passages(spark.createDataFrame(rows, DOCS)).collect():
+        if r.other_id == r.doc_id - 1:
+            found[r.doc_id].update(range(r.start_word, r.end_word))
+    for i, size, over in own:
+        assert set(range(30, 30 + size)) <= found[i], (size, over)
+
+
+def test_runs_that_may_repeat():
+    n, step = passages.LEAST_WORDS + 40, passages.WINDOW
+    assert passages.may_repeat(np.arange(0, n, step), n).tolist() == list(range(41))
+    assert not len(passages.may_repeat(np.array([0, n - 20]), n)) and not len(passages.may_repeat(np.array([3]), 30))
+    assert passages.needed(np.arange(20, 120), np.arange(50, 150)).tolist() == sorted(
+        {0, 99} | {i for i in range(100) if (i + 20) % passages.SEED_WORDS == 0})
+
+
 def test_distance_of_gaps_is_that_of_the_table():
     rng = random.Random(5)
     for _ in range(300):
