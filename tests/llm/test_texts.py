@@ -241,6 +241,30 @@ def test_passage_whose_halves_have_other_homes(spark):
         assert set(range(30, 30 + size)) <= found[i], (size, over)
 
 
+def test_recall_of_edited_passages(spark):
+    rng = random.Random(23)
+    rows, own = [], []
+    for size, percent, least in ((50, None, 20), (60, 5, 20), (60, 10, 19), (100, 10, 20), (100, 15, 19), (100, 20, 16)):
+        for _ in range(20):
+            passage = words(rng, size)
+            edited = list(passage)
+            # one word in eight, evenly, or the share at random
+            for i in range(4, size, 8) if percent is None else rng.sample(range(size), size * percent // 100):
+                edited[i] = f"changed{i}"
+            for part in (passage, edited):
+                rows.append((len(rows), " ".join([*words(rng, 30), *part, *words(rng, 30)]), "en", "a", 1))
+            own.append((len(rows) - 1, size, percent, least))
+    found = defaultdict(set)
+    for r in passages.repeated_passages(spark.createDataFrame(rows, DOCS)).collect():
+        if r.other_id == r.doc_id - 1:
+            found[r.doc_id].update(range(r.start_word, r.end_word))
+    hits = Counter()
+    for i, *case in own:
+        # found: four fifths of its words are in ranges
+        hits[tuple(case)] += len(found[i] & set(range(30, 30 + case[0]))) >= 0.8 * case[0]
+    assert all(hits[case] >= case[2] for case in hits), hits
+
+
 def test_runs_that_may_repeat():
     n, step = passages.LEAST_WORDS + 40, passages.WINDOW
     assert passages.may_repeat(np.arange(0, n, step), n).tolist() == list(range(41))
