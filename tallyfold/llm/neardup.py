@@ -68,6 +68,12 @@ def sketches(sig: np.ndarray) -> np.ndarray:
     return np.packbits(bits, axis=1, bitorder="little").view("<i8")
 
 
+def fingerprints(sets: list[np.ndarray]) -> np.ndarray:
+    """set_a and set_b of every set."""
+    marks = [(int(s.sum(dtype=np.uint64)), int(np.bitwise_xor.reduce(mix(s * _A[0])))) if len(s) else (0, 0) for s in sets]
+    return np.array(marks, np.uint64).reshape(-1, 2).view(np.int64)
+
+
 def describe(docs: DataFrame) -> DataFrame:
     """doc_id, set size, fingerprint of the set, band keys and sketch of every row."""
 
@@ -82,8 +88,7 @@ def describe(docs: DataFrame) -> DataFrame:
                 if full:
                     sig = minima([sets[i] for i in full])
                     bands[full], sketch[full] = band_keys(sig), sketches(sig)
-                marks = [(int(s.sum(dtype=np.uint64)), int(np.bitwise_xor.reduce(mix(s * _A[0])))) if len(s) else (0, 0) for s in sets]
-                prints = np.array(marks, np.uint64).view(np.int64)
+                prints = fingerprints(sets)
                 yield pd.DataFrame({
                     "doc_id": batch["doc_id"].iloc[a:b].array, "n_shingles": [len(s) for s in sets], "set_a": prints[:, 0],
                     "set_b": prints[:, 1], "bands": list(bands), **{c: sketch[:, i] for i, c in enumerate(SKETCH)}})
@@ -105,20 +110,20 @@ def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def _shareable(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """doc_id, n_own: shingles that no other of the documents has."""
+    """set_a, set_b, n_own: shingles of a class that no other text has. A doc_id may have several texts, so it is no key."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts, keys = encoded(batch["text"]), batch["doc_id"].to_numpy()
+            texts = encoded(batch["text"])
             for a, b in slices([len(t) for t in texts]):
                 sets = shingle_sets(words_of(texts[a:b]))
-                owner = np.repeat(keys[a:b], [len(s) for s in sets])
+                owner = np.repeat(fingerprints(sets), [len(s) for s in sets], axis=0)
                 kinds, first, n = np.unique(np.concatenate(sets), return_index=True, return_counts=True)
-                yield pd.DataFrame({"shingle": kinds.view(np.int64), "n": n, "doc_id": owner[first]})
+                yield pd.DataFrame({"shingle": kinds.view(np.int64), "n": n, "set_a": owner[first, 0], "set_b": owner[first, 1]})
 
-    counts = _texts_of(docs, ids).mapInPandas(run, "shingle long, n long, doc_id long").groupBy("shingle").agg(
-        F.sum("n").alias("n"), F.min("doc_id").alias("doc_id"))
-    return counts.where("n = 1").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_own"))
+    counts = _texts_of(docs, ids).mapInPandas(run, "shingle long, n long, set_a long, set_b long").groupBy("shingle").agg(
+        F.sum("n").alias("n"), F.min("set_a").alias("set_a"), F.min("set_b").alias("set_b"))
+    return counts.where("n = 1").groupBy("set_a", "set_b").agg(F.count(F.lit(1)).alias("n_own"))
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
@@ -187,8 +192,8 @@ def _crossing_pairs(classes: DataFrame, found: DataFrame, docs: DataFrame, perce
     """Pairs in a bucket from different components. The component with most classes in a bucket is set apart, so that
     its classes meet only those of others."""
     placed = settle(classes.join(found, classes["doc_id"] == found["node"], "left").select(
-        "doc_id", "n_shingles", "bands", *SKETCH, F.coalesce("component", "doc_id").alias("part")))
-    rows = _buckets(placed, "part")
+        "doc_id", "set_a", "set_b", "n_shingles", "bands", *SKETCH, F.coalesce("component", "doc_id").alias("part")))
+    rows = _buckets(placed, "part", "set_a", "set_b")
     mixed = rows.groupBy("band", "key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
     inside = settle(rows.join(mixed.select("band", "key"), ["band", "key"]))
     main = inside.groupBy("band", "key", "part").agg(F.count(F.lit(1)).alias("n")).groupBy("band", "key").agg(
@@ -196,8 +201,9 @@ def _crossing_pairs(classes: DataFrame, found: DataFrame, docs: DataFrame, perce
     ids = settle(inside.select("doc_id").distinct())
     with arrow_rows(docs.sparkSession, ROWS_AT_ONCE):
         own = settle(_shareable(docs, ids))
-    marked = settle(inside.join(main, ["band", "key"]).join(small(own), "doc_id", "left").withColumn(
-        "shareable", F.col("n_shingles") - F.coalesce("n_own", F.lit(0))).join(placed.select("doc_id", "bands"), "doc_id"))
+    marked = settle(inside.join(main, ["band", "key"]).join(small(own), ["set_a", "set_b"], "left").withColumn(
+        "shareable", F.col("n_shingles") - F.coalesce("n_own", F.lit(0))).join(
+        placed.select("set_a", "set_b", "bands"), ["set_a", "set_b"]))
     # a similarity of percent / 100 takes percent / (100 + percent) of both sizes together as shared shingles
     enough = F.least("x.shareable", "y.shareable") * (100 + percent) >= (F.col("x.n_shingles") + F.col("y.n_shingles")) * percent
     # a pair that shares several bands is made in the first of them

@@ -128,6 +128,18 @@ def test_chained_near_copies_are_one_component(spark):
     assert found == components({r[0]: shingles(r[1]) for r in rows})
 
 
+def test_chained_near_copies_whose_ids_have_other_long_texts(spark):
+    rng = random.Random(5)
+    text, rows = words(rng, 120), []
+    for i in range(30):
+        rows.append((i, " ".join(text), "en", "a", 1))
+        rows.append((i, " ".join(words(rng, 600)), "en", "a", 1))
+        for _ in range(2):
+            text[rng.randrange(len(text))] = f"new{rng.random()}"
+    found = neardup.near_duplicates(spark.createDataFrame(rows, DOCS)).collect()
+    assert len(found) == 60 and {r.component_id for r in found} == {0}
+
+
 def test_benchmark_items_inside_documents(spark, sf, docs, plain):
     benchmark = spark.read.parquet(f"{sf}/benchmark.parquet")
     items = {r.item_id: shingles(r.text) for r in benchmark.collect()}
