@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold import codebook as cb
+from tallyfold.operators.ranking import total_rank
 
 
 def union_fill(first: DataFrame, second: DataFrame) -> DataFrame:
@@ -35,12 +36,18 @@ def week_rank(week_num: str | Column = "week_num") -> Column:
     return F.when(week.isin(*known), F.substring(week, 3, 9).try_cast("int"))
 
 
+def publication_keys() -> list[Column]:
+    """Metric, group, geography and week number; unknown weeks come last."""
+    return [*[F.asc_nulls_last(c) for c in ("metric", "race_var", "geography")], week_rank().asc_nulls_last()]
+
+
 def in_publication_order(df: DataFrame) -> DataFrame:
-    """Sort by metric, group, geography and week number; unknown weeks come last."""
-    return df.orderBy(
-        F.asc_nulls_last("metric"), F.asc_nulls_last("race_var"), F.asc_nulls_last("geography"),
-        week_rank().asc_nulls_last(),
-    )
+    return df.orderBy(*publication_keys())
+
+
+def publication_rank(df: DataFrame, name: str = "row_rank") -> DataFrame:
+    """Adds each row's number in the published order, so that the order is kept by tables that have none of their own."""
+    return total_rank(df, publication_keys(), name)
 
 
 def seeded_key(seed: str, *keys: str) -> Column:

@@ -304,7 +304,7 @@ def publication_order(spark, d):
     weekly = _weekly(spark, d).select(
         "metric", "week_num", rc.group_name().alias("race_var"), F.lit("US").alias("geography"), "mean"
     )
-    return hs.in_publication_order(weekly).withColumn("week_rank", hs.week_rank())
+    return hs.publication_rank(weekly).withColumn("week_rank", hs.week_rank())
 
 
 @query

@@ -438,10 +438,11 @@ def sql() -> dict[str, str]:
         "union_fill": _from(WEEKLY, "select week_num, hisp_rrace, metric, case when week >= 28 then n end as n, mean from weekly"),
         "append_idempotent": _from(WEEKLY, "select week_num, hisp_rrace, metric, n, case when week >= (select max(week) - 1"
                                    " from weekly) then mean else -1.0 end as mean from weekly"),
-        "publication_order": _from(WEEKLY, "select metric, week_num, case when hisp_rrace like '%Black alone%' then 'black'"
+        "publication_order": _from(WEEKLY, "select *, row_number() over (order by metric nulls last, race_var nulls last, geography nulls last,"
+                                   " week_rank nulls last) as row_rank from (select metric, week_num, case when hisp_rrace like '%Black alone%' then 'black'"
                                    " when hisp_rrace like '%Asian%' then 'asian' when hisp_rrace like '%Latino%' then 'hispanic'"
                                    " when hisp_rrace like '%White%' then 'white' when hisp_rrace like '%Two or%' then 'other' end"
-                                   " as race_var, 'US' as geography, mean, week::int as week_rank from weekly"),
+                                   " as race_var, 'US' as geography, mean, week::int as week_rank from weekly)"),
         "seeded_sample": _from(f"{EST}, {PLACED.format('est')}, places as (select distinct geo_type, geography from placed),"
                                " chosen as (select * from places order by md5('qc|' || geo_type || '|' || geography),"
                                " geo_type, geography limit 10)",
