@@ -71,4 +71,36 @@ select c.page_id, c.url, c.fetched_on::varchar as fetched_on, m.verdict, m.patte
 from captures c left join met m on c.page_id = m.page_id and m.place = 1
 """
 
-SQL = {"op9_temporal_lists": URLS, "op4_poisson_mix": MIX, "op10_containment": CONTAINED}
+RESAMPLE = r"""
+with recursive bits as (select b::bigint as b, b::bigint as v, 0 as k from range(256) t(b)
+    union all select b, case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end, k + 1 from bits where k < 8),
+one as materialized (select b, v from bits where k = 8),
+texts as (select 'd' as side, doc_id, text from documents union all select 'b', null, text from benchmark),
+worded as (select side, doc_id, case when text is null then [] else regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') end as w from texts),
+listed as (select side, doc_id, len(w) as n_words, list_concat(w, list_transform(
+        generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1])) as f from worded),
+counted as materialized (select side, doc_id, f, count(*) as n from (select side, doc_id, unnest(f) as f from listed) group by all),
+spans as materialized (select f, octet_length(encode(f)) as size, hex(encode(f)) as h from (select distinct f from counted)),
+shares as (select 0 as d, b, v from one
+    union all select s.d + 1, s.b, xor(s.v >> 8, o.v) from shares s join one o on o.b = s.v & 255 where s.d + 1 < (select max(size) from spans)),
+zeros as (select 0 as size, 4294967295::bigint as v
+    union all select z.size + 1, xor(z.v >> 8, o.v) from zeros z join one o on o.b = z.v & 255 where z.size < (select max(size) from spans)),
+bytes as (select f, size, i, ('0x' || substr(h, 2 * i + 1, 2))::bigint as b from (select *, unnest(generate_series(0, size - 1)) as i from spans)),
+raw as (select f, any_value(y.size) as size, bit_xor(s.v) as v from bytes y join shares s on s.d = y.size - 1 - y.i and s.b = y.b group by f),
+hashed as materialized (select f, xor(xor(raw.v, z.v), 4294967295) % 10000 as bucket from raw join zeros z on z.size = raw.size),
+met as materialized (select c.side, c.doc_id, c.n, h.bucket from counted c join hashed h using (f)),
+sums as (select bucket, sum(n) filter (where side = 'd') as s, sum(n) filter (where side = 'b') as t from met group by bucket),
+whole as (select coalesce(sum(s), 0) as s, coalesce(sum(t), 0) as t from sums),
+gain as (select bucket, floor(1000 * ln((coalesce(sums.t, 0) + 1)::double * (whole.s + 10000)::double
+        / ((coalesce(sums.s, 0) + 1)::double * (whole.t + 10000)::double)))::bigint as g from sums, whole),
+weights as (select doc_id, floor(sum(n * g)::double / sum(n))::bigint as weight from met join gain using (bucket) where side = 'd' group by doc_id),
+scored as (select l.doc_id, l.n_words, len(l.f)::bigint as n_features, coalesce(w.weight, 0) as weight, coalesce(w.weight, 0) + floor(-1000 * ln(-ln(
+        (('0x' || substr(sha256('7:' || l.doc_id), 1, 8))::bigint + 0.5::double) / 4294967296::double)))::bigint as score
+    from listed l left join weights w on w.doc_id = l.doc_id where l.side = 'd'),
+ranked as (select *, case when n_words >= 20 then row_number() over (partition by n_words >= 20 order by score desc, doc_id) end as r,
+        count(*) filter (where n_words >= 20) over () * 25 // 100 as drawn from scored)
+select doc_id, n_features, weight, score, case when r <= drawn then r end as rank from ranked
+"""
+
+SQL = {"op11_position_crc": RESAMPLE, "op9_temporal_lists": URLS, "op4_poisson_mix": MIX, "op10_containment": CONTAINED}

@@ -11,6 +11,7 @@ from tallyfold.llm.mixing import mix_sources, tempered_rates
 from tallyfold.llm.neardup import near_duplicates
 from tallyfold.llm.passages import repeated_passages
 from tallyfold.llm.quality import quality_report
+from tallyfold.llm.resampling import resample
 from tallyfold.llm.sharding import shard_documents
 from tallyfold.llm.tokens import token_files
 from tallyfold.llm.toxicity import held_out, score_toxicity, train
@@ -98,6 +99,11 @@ def op10_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op11_position_crc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {f.__name__: f for f in (op1_token_codes, op2_bin_packing, op3_minhash, op4_poisson_mix,
                                 op5_deleted_interpolation, op6_chained_passages, op7_divergence, op8_chain_field,
-                                op9_temporal_lists, op10_containment)}
+                                op9_temporal_lists, op10_containment, op11_position_crc)}
