@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyfold.llm.alignment import align_tokenizers
 from tallyfold.llm.decontaminate import contained
 from tallyfold.llm.language_model import score_texts
 from tallyfold.llm.mixing import mix_sources, tempered_rates
@@ -104,6 +105,14 @@ def op11_position_crc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op12_identity_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    rows, _ = align_tokenizers(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                               public_tokenizers.path("piece_bpe_32k.model"))
+    return rows
+
+
 QUERIES = {f.__name__: f for f in (op1_token_codes, op2_bin_packing, op3_minhash, op4_poisson_mix,
                                 op5_deleted_interpolation, op6_chained_passages, op7_divergence, op8_chain_field,
-                                op9_temporal_lists, op10_containment, op11_position_crc)}
+                                op9_temporal_lists, op10_containment, op11_position_crc, op12_identity_map)}
