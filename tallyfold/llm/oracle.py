@@ -103,4 +103,19 @@ ranked as (select *, case when n_words >= 20 then row_number() over (partition b
 select doc_id, n_features, weight, score, case when r <= drawn then r end as rank from ranked
 """
 
-SQL = {"op11_position_crc": RESAMPLE, "op9_temporal_lists": URLS, "op4_poisson_mix": MIX, "op10_containment": CONTAINED}
+REPEATS = """
+with d as materialized (select doc_id, encode(coalesce(text, '')) as b, octet_length(encode(coalesce(text, ''))) as n from documents),
+w as materialized (select doc_id, i, b[i + 1:i + 50] as s from (select *, unnest(generate_series(0, n - 50)) as i from d where n >= 50)),
+least as (select s, min(doc_id) as first_doc from w group by s),
+hit as (select doc_id, i, i - lag(i) over (partition by doc_id order by i) as step from w join least using (s) where first_doc < doc_id),
+runs as (select doc_id, min(i) as a, max(i) + 50 as z from (select *, sum(case when step <= 50 then 0 else 1 end) over (
+    partition by doc_id order by i) as run from hit) group by doc_id, run),
+edges as (select doc_id, a, z, coalesce(lag(z) over (partition by doc_id order by a), 0) as before from runs),
+parts as (select e.doc_id, e.a, hex(b[e.before + 1:e.a]) as h from edges e join d using (doc_id)
+    union all select d.doc_id, n, hex(b[coalesce(z, 0) + 1:n]) from d left join (select doc_id, max(z) as z from runs group by doc_id) using (doc_id)),
+kept as (select doc_id, string_agg(h, '' order by a) as h from parts group by doc_id)
+select doc_id, n as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0) as n_spans, sha256(unhex(h)) as kept_sha256
+from d join kept using (doc_id) left join (select doc_id, sum(z - a) as n_removed, count(*) as n_spans from runs group by doc_id) using (doc_id)
+"""
+
+SQL = {"op13_column_suffixes": REPEATS, "op11_position_crc": RESAMPLE, "op9_temporal_lists": URLS, "op4_poisson_mix": MIX, "op10_containment": CONTAINED}

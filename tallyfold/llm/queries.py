@@ -12,6 +12,7 @@ from tallyfold.llm.mixing import mix_sources, tempered_rates
 from tallyfold.llm.neardup import near_duplicates
 from tallyfold.llm.passages import repeated_passages
 from tallyfold.llm.quality import quality_report
+from tallyfold.llm.repeats import without_repeats
 from tallyfold.llm.resampling import resample
 from tallyfold.llm.sharding import shard_documents
 from tallyfold.llm.tokens import token_files
@@ -113,6 +114,13 @@ def op12_identity_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows
 
 
+def op13_column_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = without_repeats(read(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (op1_token_codes, op2_bin_packing, op3_minhash, op4_poisson_mix,
                                 op5_deleted_interpolation, op6_chained_passages, op7_divergence, op8_chain_field,
-                                op9_temporal_lists, op10_containment, op11_position_crc, op12_identity_map)}
+                                op9_temporal_lists, op10_containment, op11_position_crc, op12_identity_map,
+                                op13_column_suffixes)}
