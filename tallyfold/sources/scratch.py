@@ -21,10 +21,14 @@ def shared_folder(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def new_path(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/tallyfold-{uuid.uuid4().hex}"
+
+
 def handed_over(df: DataFrame) -> DataFrame:
     """``df`` written once and read back: what follows sees the same rows in every pass, and a lost executor costs no
     recomputation before it."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/tallyfold-{uuid.uuid4().hex}"
+    path = new_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

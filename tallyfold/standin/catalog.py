@@ -22,7 +22,7 @@ from tallyfold.plans import estimates as es
 from tallyfold.plans import qc
 from tallyfold.plans import response as rp
 from tallyfold.plans.clean import split_income_question
-from tallyfold.sources import literals
+from tallyfold.sources import literals, scratch, sheets
 from tallyfold.standin import respondents as rs
 from tallyfold.standin import tables as tb
 
@@ -438,6 +438,17 @@ def benchmark_race_rows(spark, d):
     )
 
 
+@query
+def scan_sheets(spark, d):
+    """The tables landed as one CSV file a sheet, with title and blank lines, and read back by position."""
+    folder = scratch.new_path(spark)
+    tb.land_sheets(tb.benchmark_lines(spark, d), folder)
+    return bm.race_rows(sheets.read_table_sheets(spark, folder)).select(
+        "table_name", "week", "geography", "line_no", "n_cols", "variable",
+        *[tidy(F.col(c).try_cast("double"), 2).alias(c) for c in bm.VALUES],
+    )
+
+
 def _ratios(spark, d):
     return bm.benchmark_ratios(tb.benchmark_lines(spark, d), literals.benchmark_metro_names(spark))
 

@@ -8,6 +8,7 @@ a group is summed from its members, nothing is subtracted.
 from __future__ import annotations
 
 from tallyfold import codebook as cb
+from tallyfold.sources.sheets import TABLE_TITLE_LINES
 from tallyfold.standin import respondents as rs
 from tallyfold.standin import tables as tb
 
@@ -499,6 +500,9 @@ def sql() -> dict[str, str]:
         "benchmark_race_rows": _from(_lines(), "select table_name, week, geography, line_no, variable, "
                                      + cols(f"round(c{i}, 2) + 0.0 as c{i}" for i in range(1, cb.BENCHMARK_MAX_COLUMNS + 1))
                                      + " from lines"),
+        "scan_sheets": _from(_lines(), f"select table_name, week, geography, line_no + {TABLE_TITLE_LINES} as line_no, n_cols, variable, "
+                             + cols(f"round(c{i}, 2) + 0.0 as c{i}" for i in range(1, cb.BENCHMARK_MAX_COLUMNS + 1))
+                             + " from lines"),
         "benchmark_ratios": _from(f"{_lines()}, {_ratio_rows()}",
                                   "select table_name, week_num, geography, race_var, metric, round(numerator, 2) + 0.0 as numerator,"
                                   f" round(denominator, 2) + 0.0 as denominator, {r6('numerator / nullif(denominator, 0)')} as share"

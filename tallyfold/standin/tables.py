@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tallyfold import codebook as cb
 from tallyfold.operators.reshape import stack_geographies
+from tallyfold.sources.sheets import TABLE_TITLE_LINES
 from tallyfold.standin import respondents as rs
 
 SHIFTED = ("msa", 20, "ASIA", 0.01)
@@ -144,3 +145,20 @@ def benchmark_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c4", F.when(moved, (F.col("c4").cast("double") + shift * F.col("c1").cast("double")).cast("string"))
         .otherwise(F.col("c4"))
     ).select("table_name", "week", "geography", "line_no", "n_cols", "variable", *values)
+
+
+def land_sheets(lines: DataFrame, folder: str) -> None:
+    """Write the tables as exports of their sheets: a CSV file for each, title lines first, blank lines where a group
+    has none of its own."""
+    cells = ["variable", *[f"c{i}" for i in range(1, cb.BENCHMARK_MAX_COLUMNS + 1)]]
+    written = F.to_csv(F.struct(*cells), {"nullValue": "", "emptyValue": ""})
+    titles = F.array(F.concat(F.lit('"Table '), F.col("table_name"), F.lit(', by area"')), F.lit(""), F.lit("Source: stand-in"), F.lit(""),
+                     F.lit("Characteristic,Total"))
+    assert TABLE_TITLE_LINES == 5
+    sheets = lines.groupBy("table_name", "week", "geography").agg(
+        F.map_from_entries(F.collect_list(F.struct("line_no", written.alias("line")))).alias("by_number"), F.max("line_no").alias("last"))
+    body = F.transform(F.sequence(F.lit(1), F.col("last")), lambda i: F.coalesce(F.try_element_at("by_number", i), F.lit("")))
+    files = sheets.select(
+        F.concat("table_name", F.lit("_wk"), "week", F.lit(".xlsx")).alias("workbook"), F.col("geography").alias("sheet"),
+        F.array_join(F.concat(titles, body), "\n").alias("value"))
+    files.write.mode("overwrite").partitionBy("workbook", "sheet").text(folder)
