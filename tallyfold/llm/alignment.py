@@ -5,6 +5,9 @@ which then have the same bytes: a map from every id of the first tokenizer to th
 made from the vocabularies alone, recognises them, and they are counted in a vector as long as the first vocabulary.
 Only the links of the other groups are shuffled as pairs of ids.
 
+Both tokenizers cut before the spaces that follow a word, so what they make of a word, with the spaces before it, is
+worked out once in a worker and remembered.
+
 Every document then needs the counts of its own links. Those of the map come from the vector. Of the other pairs those that hold
 at least one link in PAIRS_SENT are broadcast, so there are PAIRS_SENT of them at most whatever the corpus; the rest are
 joined by a shuffle, in which by the same rule no pair is frequent.
@@ -18,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -34,6 +38,9 @@ from tallyfold.llm.words import slices
 #: Most pairs that are broadcast, and the share of all links (one in as many) from which on a pair is among them.
 PAIRS_SENT = 1_000_000
 ROWS_AT_ONCE, SLICE_BYTES = 256, 1 << 19
+#: Units and their letters that a worker remembers, units that are tokenized as one text, and new ones learned at once.
+REMEMBERED_UNITS, REMEMBERED_LETTERS, UNITS_AT_ONCE, LEARNED_AT_ONCE = 400_000, 1 << 23, 1000, 50_000
+_ODD_SPACE = re.compile(r"\s |^ | $")
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 ALIGNED = pa.schema([
     ("row", pa.int64()), ("doc_id", pa.int64()), *[(c, pa.int64()) for c in COUNTS], ("groups_sha256", pa.string()),
@@ -82,16 +89,51 @@ class Tokenizers:
         self.first_text, self.second_text = ([np.array([f"{i}{end}" for i in range(len(x))], object) for end in ends] for x, ends in (
             (self.first_bytes, ",|"), (self.second_bytes, ",;")))
 
-    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
-        """Ids of both for each text; none where the bytes are not given back."""
-        first = self.first.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        out = []
-        for text, a, b in zip(texts, first, self.second.encode(texts, num_threads=1)):
-            own, a = b" " + text.encode("utf-8", "surrogatepass"), a.ids
-            kept = text and b"".join(map(self.first_bytes.__getitem__, a)) == own == b"".join(map(self.second_bytes.__getitem__, b))
-            out.append((a, b) if kept else ([], []))
+        # no token of the second goes from another character into a space, as none of the first does: texts can be cut there
+        self.cuts = not any(b" " in b.lstrip(b" ") for b in self.second_bytes)
+
+    def units(self, text: str) -> list[str]:
+        """A text with a space before it, cut before every run of spaces that follows a character other than white
+        space. What both tokenizers make of such a unit does not depend on what is around it."""
+        if not self.cuts:
+            return [" " + text]
+        words = text.split(" ")
+        if not _ODD_SPACE.search(text):
+            return [" " + w for w in words]
+        out, open_ = [], False
+        for w in words:
+            if open_:
+                out[-1] += " " + w
+            else:
+                out.append(" " + w)
+            open_ = not w or w[-1].isspace()
+        if len(out) > 1 and out[-1].isspace():
+            out[-2:] = [out[-2] + out[-1]]
         return out
 
+    def encode(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of both tokenizers for units one after the other, and the bytes of each unit: 0 where they are not given back."""
+        runs: list[list[str]] = []
+        for unit in units:
+            if not runs or len(runs[-1]) >= UNITS_AT_ONCE or runs[-1][-1][-1].isspace():
+                runs.append([])
+            runs[-1].append(unit)
+        ids, sizes = ([], []), []
+        texts = ["".join(run) for run in runs]
+        found = self.first.encode_batch_fast(texts, add_special_tokens=False)
+        for run, text, a, b in zip(runs, texts, found, self.second.encode([t[1:] for t in texts], num_threads=1)):
+            own, a = text.encode("utf-8", "surrogatepass"), a.ids
+            if b"".join(map(self.first_bytes.__getitem__, a)) == own == b"".join(map(self.second_bytes.__getitem__, b)):
+                parts = [(a, b, [len(u.encode("utf-8", "surrogatepass")) for u in run])]
+            else:
+                parts = [self.encode([u]) for u in run] if len(run) > 1 else [([], [], [0])]
+            for x, y, n in parts:
+                ids[0].append(np.asarray(x, np.int64))
+                ids[1].append(np.asarray(y, np.int64))
+                sizes.extend(n)
+        none = np.zeros(0, np.int64)
+        return np.concatenate([none, *ids[0]]), np.concatenate([none, *ids[1]]), np.array(sizes, np.int64)
+
 
 @lru_cache(maxsize=1)
 def tokenizers_of(byte_level: str, pieces: str) -> Tokenizers:
@@ -99,33 +141,31 @@ def tokenizers_of(byte_level: str, pieces: str) -> Tokenizers:
 
 
 class Links(NamedTuple):
-    """Links of some texts in order, and what they belong to."""
+    """Links of some units in order, and what they belong to."""
 
-    counts: np.ndarray  # texts x COUNTS
+    counts: np.ndarray  # units x COUNTS
+    kept: np.ndarray  # whether the unit's bytes are given back
     first: np.ndarray
     second: np.ndarray
-    text: np.ndarray
+    unit: np.ndarray
     direct: np.ndarray  # whether the map gives the link
     written: list[str]
 
 
-def linked(own: Tokenizers, texts: list[str]) -> Links:
-    """Links and groups of texts: each stretch between two token ends of either side is one link."""
-    ids = own.encode(texts)
-    n = [np.array([len(pair[i]) for pair in ids], np.int64) for i in (0, 1)]
-    a, b = (np.fromiter((x for pair in ids for x in pair[i]), np.int64, int(n[i].sum())) for i in (0, 1))
+def linked(own: Tokenizers, units: list[str]) -> Links:
+    """Links and groups of units: each stretch between two token ends of either side is one link."""
+    a, b, sizes = own.encode(units)
     ends_a, ends_b = np.cumsum(own.first_size[a]), np.cumsum(own.second_size[b])
-    # both sides of a text have the same bytes, so ends of all texts are on one scale
-    bounds = np.concatenate([[0], ends_a])[np.cumsum(n[0])]
+    # both sides of a unit have the same bytes, so ends of all units are on one scale
+    bounds = np.cumsum(sizes)
     ends = np.union1d(ends_a, ends_b)
-    at_a, at_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
-    text = np.searchsorted(bounds, ends)
+    at_a, at_b, unit = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends), np.searchsorted(bounds, ends)
     closes = (ends_a[at_a] == ends) & (ends_b[at_b] == ends) if len(ends) else np.zeros(0, bool)
     opens = np.concatenate([[True], closes[:-1]]) if len(ends) else closes
     first, second = a[at_a], b[at_b]
     direct = opens & closes & (own.same[first] == second)
-    groups = np.bincount(text[closes], minlength=len(texts))
-    counts = np.stack([n[0], n[1], groups, np.bincount(text, minlength=len(texts))], axis=1)
+    n = [np.bincount(np.searchsorted(bounds, e), minlength=len(units)) for e in (ends_a, ends_b)]
+    counts = np.stack([*n, np.bincount(unit[closes], minlength=len(units)), np.bincount(unit, minlength=len(units))], axis=1)
 
     # the groups as text: a group's ids of the first side, then those of the second
     last_a, last_b = at_a[closes], at_b[closes]
@@ -137,7 +177,111 @@ def linked(own: Tokenizers, texts: list[str]) -> Links:
     parts[place_a[last_a]], parts[place_b[last_b]] = own.first_text[1][a[last_a]], own.second_text[1][b[last_b]]
     cuts = np.concatenate([[0], np.cumsum(n[0] + n[1])])
     written = ["".join(parts[x:y])[:-1] for x, y in zip(cuts[:-1], cuts[1:])]
-    return Links(counts, first, second, text, direct, written)
+    return Links(counts, sizes > 0, first, second, unit, direct, written)
+
+
+class _Lists:
+    """Growing rows of numbers, one after the other."""
+
+    def __init__(self):
+        self.values, self.ends = np.zeros(1 << 16, np.int64), [np.zeros(1, np.int64)]
+        self.used = 0
+
+    def add(self, values: np.ndarray, sizes: np.ndarray) -> None:
+        if self.used + len(values) > len(self.values):
+            self.values = np.resize(self.values, 2 * (self.used + len(values)))
+        self.values[self.used : self.used + len(values)] = values
+        self.ends.append(self.used + np.cumsum(sizes))
+        self.used += len(values)
+
+    def of(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Values of the given rows, and the size of each."""
+        if len(self.ends) > 1:
+            self.ends = [np.concatenate(self.ends)]
+        ends = self.ends[0]
+        sizes = ends[rows + 1] - ends[rows]
+        last = np.cumsum(sizes)
+        return self.values[np.repeat(ends[rows] - last + sizes, sizes) + np.arange(int(sizes.sum()))], sizes
+
+
+class Memory:
+    """Links of units seen before, so that each is tokenized once; all are forgotten when there are too many."""
+
+    def __init__(self, own: Tokenizers):
+        self.own = own
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.written: list[str] = []
+        self.counts = [np.zeros((0, len(COUNTS) + 1), np.int64)]
+        self.direct, self.others = _Lists(), _Lists()
+        self.letters = 0
+
+    def numbers(self, units: list[str]) -> np.ndarray:
+        """Numbers of units; new ones are tokenized together."""
+        if len(self.number) > REMEMBERED_UNITS or self.letters > REMEMBERED_LETTERS:
+            self.forget()
+        new = [u for u in dict.fromkeys(units) if u not in self.number]
+        for start in range(0, len(new), LEARNED_AT_ONCE):
+            self._learn(new[start : start + LEARNED_AT_ONCE])
+        return np.fromiter(map(self.number.__getitem__, units), np.int64, len(units))
+
+    def _learn(self, units: list[str]) -> None:
+        found = linked(self.own, units)
+        width, n = len(self.own.second_bytes), len(units)
+        self.number.update(zip(units, range(len(self.number), len(self.number) + n)))
+        self.letters += sum(map(len, units))
+        self.written += found.written
+        self.counts.append(np.column_stack([found.counts, ~found.kept]))
+        self.direct.add(found.first[found.direct], np.bincount(found.unit[found.direct], minlength=n))
+        other = ~found.direct
+        self.others.add(found.first[other] * width + found.second[other], np.bincount(found.unit[other], minlength=n))
+
+    def counts_of(self, rows: np.ndarray) -> np.ndarray:
+        if len(self.counts) > 1:
+            self.counts = [np.concatenate(self.counts)]
+        return self.counts[0][rows]
+
+
+@lru_cache(maxsize=1)
+def memory_of(byte_level: str, pieces: str) -> Memory:
+    return Memory(tokenizers_of(byte_level, pieces))
+
+
+def _sums(values: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    return np.diff(np.concatenate([np.zeros_like(values[:1]) if len(values) else np.zeros((1, *values.shape[1:]), values.dtype),
+                                   np.cumsum(values, axis=0)])[cuts], axis=0)
+
+
+def documents_linked(memory: Memory, texts: list[str]) -> dict[str, list | np.ndarray]:
+    """Columns of ALIGNED for some texts."""
+    units, cuts = [], [0]
+    for text in texts:
+        if text:
+            units += memory.own.units(text)
+        cuts.append(len(units))
+    rows, cuts = memory.numbers(units), np.array(cuts)
+    # a text with a unit whose bytes are not given back has no tokens
+    lost = _sums(memory.counts_of(rows)[:, -1], cuts) > 0
+    if lost.any():
+        n = np.where(lost, 0, np.diff(cuts))
+        rows, cuts = rows[np.repeat(~lost, np.diff(cuts))], np.concatenate([[0], np.cumsum(n)])
+    text = np.repeat(np.arange(len(texts)), np.diff(cuts))
+    first, n_first = memory.direct.of(rows)
+    pair, n_pairs = memory.others.of(rows)
+    codes, code = np.unique(pair, return_inverse=True)
+    span = max(len(codes), 1)
+    keys, times = np.unique(np.repeat(text, n_pairs) * span + code, return_counts=True)
+    names = list(map(memory.written.__getitem__, rows.tolist()))
+    first = first.astype("<u4")
+    steps = _sums(n_first, cuts).cumsum()
+    return {
+        "counts": _sums(memory.counts_of(rows)[:, :-1], cuts),
+        "digests": [hashlib.sha256(";".join(names[x:y]).encode()).hexdigest() if y > x else "" for x, y in zip(cuts[:-1], cuts[1:])],
+        "direct": [first[x:y].tobytes() for x, y in zip([0, *steps[:-1]], steps)],
+        "cuts": np.searchsorted(keys, np.arange(len(texts) + 1) * span).astype(np.int32),
+        "pairs": codes[keys % span] if len(codes) else keys, "times": times.astype(np.int32)}
 
 
 def align(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
@@ -145,25 +289,16 @@ def align(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
     other pairs (first id x size of the second vocabulary + second id) with the times they are linked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = tokenizers_of(byte_level, pieces)
-        width = len(own.second_bytes)
+        memory = memory_of(byte_level, pieces)
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for x, y in slices([len(t) for t in texts], SLICE_BYTES):
-                n = y - x
-                links = linked(own, texts[x:y])
-                pair = links.first * width + links.second
-                codes, code = np.unique(pair[~links.direct], return_inverse=True)
-                keys, times = np.unique(links.text[~links.direct] * max(len(codes), 1) + code, return_counts=True)
-                cuts = np.searchsorted(keys, np.arange(n + 1) * max(len(codes), 1)).astype(np.int32)
-                direct = links.first[links.direct].astype("<u4")
-                steps = np.searchsorted(links.text[links.direct], np.arange(n + 1))
+                found = documents_linked(memory, texts[x:y])
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("row").slice(x, n), batch.column("doc_id").slice(x, n), *[pa.array(c) for c in links.counts.T],
-                    pa.array([hashlib.sha256(w.encode()).hexdigest() if w else "" for w in links.written], pa.string()),
-                    pa.array([direct[p:q].tobytes() for p, q in zip(steps[:-1], steps[1:])], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(cuts), pa.array(codes[keys % max(len(codes), 1)] if len(codes) else keys)),
-                    pa.ListArray.from_arrays(pa.array(cuts), pa.array(times.astype(np.int32)))], schema=ALIGNED)
+                    batch.column("row").slice(x, y - x), batch.column("doc_id").slice(x, y - x), *[pa.array(c) for c in found["counts"].T],
+                    pa.array(found["digests"], pa.string()), pa.array(found["direct"], pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(found["cuts"]), pa.array(found["pairs"])),
+                    pa.ListArray.from_arrays(pa.array(found["cuts"]), pa.array(found["times"]))], schema=ALIGNED)
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("text").cast("string").alias("text"))
