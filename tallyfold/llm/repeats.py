@@ -6,8 +6,8 @@ into pieces, runs of neighbouring windows with the same least hash, and pieces a
 equal windows meet in one task. Copies of a piece are resolved where they are read: all but the ones in the least document of
 a slice of the input are removed there and not sent, so a text that occurs a million times is sent once for each slice.
 
-A task sorts the suffixes of its pieces column by column (``suffixes.sorted_suffixes``), where at least two different
-pieces share their least hash. Neighbours with WINDOW bytes in common are the classes of equal windows. Such collections
+A task sorts the suffixes of its pieces column by column (``suffixes.sorted_suffixes``), where different pieces of different
+documents have the least hash and enough of the bytes beside it in common. Neighbours with WINDOW bytes in common are the classes of equal windows. Such collections
 are taken hash by hash up to COLLECTION_BYTES, so the columns of a collection, which every round reads and writes
 in sequence, are in memory; a single hash with more pieces is a collection of its own.
 
@@ -34,10 +34,14 @@ from tallyfold.llm.words import mix
 
 WINDOW, SEED_BYTES = 50, 16
 SEEDS_IN_WINDOW = WINDOW - SEED_BYTES + 1
+#: Bytes that a window has at least on one side of any of its seeds.
+SIDE = (WINDOW - SEED_BYTES) // 2
 #: Text that is cut at once and of which copies are resolved, and the part of it that is hashed at once.
-SLICE_BYTES, HASHED_BYTES = 1 << 24, 1 << 21
-#: Text whose pieces go to one task, pieces that are sorted together, and rows that are handed over at once.
-BUCKET_BYTES, COLLECTION_BYTES, ROWS_AT_ONCE = 1 << 26, 1 << 21, 256
+SLICE_BYTES, HASHED_BYTES = 1 << 23, 1 << 20
+#: Text whose pieces go to one task, pieces that are sorted together, and rows and bytes that are handed over at once.
+BUCKET_BYTES, COLLECTION_BYTES, ROWS_AT_ONCE, BYTES_AT_ONCE = 1 << 25, 1 << 21, 256, 1 << 23
+#: Level of zstandard, and bits of a piece's hash that are sent.
+LEVEL, SENT_BITS = 5, 24
 NO_ID = np.iinfo(np.int64).max
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 PARCEL = "bucket int, meta binary, contents binary"
@@ -124,7 +128,7 @@ def _packed(*columns: np.ndarray) -> bytes:
     """Columns of numbers, the bytes of a column by their place so that they compress."""
     head = struct.pack("<B", len(columns)) + b"".join(struct.pack("<QB", len(c), c.dtype.itemsize) for c in columns)
     body = b"".join(np.ascontiguousarray(c).view(np.uint8).reshape(-1, c.dtype.itemsize).T.tobytes() for c in columns)
-    return zstandard.compress(head + body, 3)
+    return zstandard.compress(head + body, LEVEL)
 
 
 def _unpacked(blob: bytes) -> list[np.ndarray]:
@@ -181,8 +185,46 @@ def parcels(docs: np.ndarray, prints: np.ndarray, texts: list[bytes], n_buckets:
         content = places[place_cuts[bucket] : place_cuts[bucket + 1]] - cuts[bucket]
         body = b"".join(contents[own])
         yield bucket, _packed(docs[rows].view(np.uint64), prints[rows].view(np.uint64), row.astype(np.uint32), at[found].astype(np.uint64),
-                              _steps(content, "<u4"), size[first[own]].astype(np.uint8), (hashed[own] & np.uint64(0xFFFFFFFF)).astype(np.uint32)), \
-            zstandard.compress(body, 3)
+                              _steps(content, "<u4"), size[first[own]].astype(np.uint8), (hashed[own] & np.uint64((1 << SENT_BITS) - 1)).astype(np.uint32)), \
+            zstandard.compress(body, LEVEL)
+
+
+def _candidates(pieces: list[bytes], seeds: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Pieces that may share a window with one of another document.
+
+    A window around a least hash holds the SIDE bytes before it or those behind it, so two pieces that share a window
+    share such a longer string. Only hashes of these are compared: equal ones by chance do no harm.
+    """
+    sizes = np.array([len(p) for p in pieces], np.int64)
+    ends = np.cumsum(sizes)
+    data = np.frombuffer(b"".join(pieces), np.uint8)
+    hashes = seed_hashes(data)
+    place = np.arange(len(hashes))
+    piece = np.searchsorted(ends, place, "right")
+    hashes[place + SEED_BYTES > ends[piece]] = np.uint64(0xFFFFFFFFFFFFFFFF)
+    starts = ends - sizes
+    # the least hash of all windows of a piece, at each of its places
+    lowest = np.minimum.reduceat(hashes, starts)
+    at = np.flatnonzero(hashes == lowest[piece])
+    owner, hashed = piece[at], hashes[at]
+    # SIDE bytes as hashes of 16 bytes, the second of which overlaps the first
+    rest = SIDE - SEED_BYTES
+    behind, before = at + SEED_BYTES, at - SIDE
+    keys, owners = [], []
+    for first, second, fits, salt in ((behind, behind + rest, behind + SIDE <= ends[owner], _A),
+                                      (before, before + rest, before >= starts[owner], _B)):
+        a, b = hashes[first[fits]], hashes[second[fits]]
+        keys.append(mix(mix(mix(hashed[fits] * salt + seeds[owner[fits]]) + a) * _A + b))
+        owners.append(owner[fits])
+    key, owner = np.concatenate(keys), np.concatenate(owners)
+    order = np.argsort(key, kind="stable")
+    key, owner = key[order], owner[order]
+    opens = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    out = np.zeros(len(pieces), bool)
+    if len(opens):
+        mixed = np.minimum.reduceat(least[owner], opens) < np.maximum.reduceat(least[owner], opens)
+        out[owner[np.repeat(mixed, np.diff(np.append(opens, len(key))))]] = True
+    return np.flatnonzero(out)
 
 
 def _window_ranges(pieces: list[bytes], least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -226,12 +268,13 @@ def resolve(blobs: list[tuple[bytes, bytes | None]]) -> Iterator[pd.DataFrame]:
     if not metas:
         return
     all_seeds = np.concatenate([c[6] for c, _ in metas])
-    kept, n = np.unique(all_seeds, return_counts=True)
-    kept = kept[n > 1]
+    shared = np.sort(all_seeds)
+    repeated = np.zeros(1 << SENT_BITS, bool)
+    repeated[shared[1:][shared[1:] == shared[:-1]]] = True
     number: dict[bytes, int] = {}
     seeds, least, found = [], [], []
     for (docs, prints, row, at, steps, sizes, seed), contents in metas:
-        wanted = np.flatnonzero(np.isin(seed, kept))
+        wanted = np.flatnonzero(repeated[seed])
         if not len(wanted):
             continue
         raw = zstandard.decompress(contents)
@@ -262,6 +305,8 @@ def resolve(blobs: list[tuple[bytes, bytes | None]]) -> Iterator[pd.DataFrame]:
     np.minimum.at(low, inverse, least)
     np.maximum.at(high, inverse, least)
     mixed = np.flatnonzero((low < high)[inverse])
+    if len(mixed):
+        mixed = mixed[_candidates([pieces[p] for p in mixed], seeds[mixed].astype(np.uint64), least[mixed])]
     first_piece, docs, prints, at = piece[~later], docs[~later], prints[~later], at[~later]
     order = np.argsort(first_piece, kind="stable")
     first_piece = first_piece[order]
@@ -312,7 +357,7 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
             if len(found):
                 yield pa.RecordBatch.from_pandas(found, preserve_index=False)
 
-    with arrow_rows(spark, ROWS_AT_ONCE):
+    with arrow_rows(spark, ROWS_AT_ONCE, BYTES_AT_ONCE):
         sent = docs.select(*_address(docs)).mapInArrow(cut, PARCEL)
         return settle(sent.repartitionById(int(n_buckets), F.col("bucket")).select("meta", "contents").mapInArrow(compare, RANGES), "zstd")
 

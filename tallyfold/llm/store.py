@@ -2,36 +2,35 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyfold.sources.scratch import shared_folder
+
 #: Most rows of narrow keys (a few longs) that are broadcast; beyond it the join is a shuffle.
 BROADCAST_ROWS = 1_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; one of our own only where none is set, as in tests."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not named:
-        named = tempfile.mkdtemp(prefix="tallyfold-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
+    """The folder named in spark.checkpoint.dir; one of our own only where none is set and the session is local, as in tests."""
+    return shared_folder(spark)
 
 
 @contextmanager
-def arrow_rows(spark: SparkSession, n: int):
-    """Jobs run inside hand ``n`` rows at once to Python, where rows are long."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, str(n))
+def arrow_rows(spark: SparkSession, n: int, n_bytes: int | None = None):
+    """Jobs run inside hand ``n`` rows, and ``n_bytes`` at most, at once to Python, where rows are long."""
+    keys = {"spark.sql.execution.arrow.maxRecordsPerBatch": n, "spark.sql.execution.arrow.maxBytesPerBatch": n_bytes}
+    before = {key: spark.conf.get(key, None) for key, value in keys.items() if value}
+    for key in before:
+        spark.conf.set(key, str(keys[key]))
     try:
         yield
     finally:
-        spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
 
 
 def settle(df: DataFrame, compression: str = "snappy") -> DataFrame:
