@@ -1,13 +1,13 @@
 """The additive cell cube: one pass over the microdata feeds every estimate.
 
-A row of the cube holds, for one combination of keys and one metric, the number
-of answers, their extremes, and for each weight the sums of w*x and of w over
-the answers. All of it adds up, so coarser domains come from the cube and the
-microdata is read once.
-
-The sums are 2 x metrics x weights per respondent (3402 with 21 and 81). As SQL
-sums they took up to 7 times as long as a matrix product per Arrow batch, which
-is why this one step runs in Python. Spark partitions, shuffles and merges.
+A row of the cube holds, for one combination of keys and one metric, the number of answers, their extremes, and for
+each weight the sums of w*x and of w over the answers. All of it adds up, so coarser domains come from the cube and
+the microdata is read once.
+
+The sums are 2 x metrics x weights per respondent (3402 with 21 and 81). As SQL sums they took up to 7 times as long
+as a matrix product per run of equal keys, which is why a task's own rows are added up in Python, in key order. What
+tasks hand on are flat doubles, which Spark's aggregation adds up; the rest of a group is a sum over two window frames.
+Between steps sums are flat columns (``flat_names``); ``packed`` makes arrays of them, as in a kept cube.
 """
 
 from __future__ import annotations
@@ -16,59 +16,54 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyfold.functions.replicates import SurveyDesign
 
-SUM_FIELDS = ("n", "lo", "hi", "num", "den")
-# Sums held by a task before they are passed on; 27 kB each with 21 metrics and
-# 81 weights. What is passed on early is merged after the shuffle.
+# Sums held by a task before they are passed on; 27 kB each with 21 metrics and 81 weights.
 MAX_HELD = 2000
-# Rows of 1.3 kB held before they are added up, and rows per batch passed on.
-HELD_ROWS = 50000
+# Rows of 1.3 kB per batch passed on.
 OUT_ROWS = 4000
 
 
-def cube_schema(key_fields: Sequence[T.StructField]) -> T.StructType:
-    doubles = T.ArrayType(T.DoubleType())
-    return T.StructType(
-        [
-            T.StructField("set_id", T.IntegerType()),
-            *[T.StructField(f.name, f.dataType) for f in key_fields],
-            T.StructField("metric", T.StringType()),
-            T.StructField("n", T.LongType()),
-            T.StructField("lo", T.DoubleType()),
-            T.StructField("hi", T.DoubleType()),
-            T.StructField("num", doubles),
-            T.StructField("den", doubles),
-        ]
-    )
-
-
-def runs_of(batch: pa.RecordBatch, keys: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Row order that brings equal keys together, and where each run of equals starts."""
-    code = np.zeros(batch.num_rows, dtype=np.int64)
-    for name in keys:
-        column = batch.column(name).dictionary_encode()
-        size = len(column.dictionary)
-        index = column.indices.fill_null(size).to_numpy(zero_copy_only=False)
-        # re-number after each key, so that many keys cannot overflow
-        _, code = np.unique(code * (size + 1) + index, return_inverse=True)
-    order = np.argsort(code, kind="stable")
-    ordered = code[order]
-    starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]) if len(code) else np.array([], int)
-    return order, starts
+def flat_names(width: int, prefix: str = "") -> list[str]:
+    return [f"{prefix}{side}_{i}" for side in ("num", "den") for i in range(width)]
+
+
+def packed(df: DataFrame, width: int, prefixes: Sequence[str] = ("",)) -> DataFrame:
+    """Flat sums as the arrays num and den, for each prefix."""
+    gone = {n for p in prefixes for n in flat_names(width, p)}
+    arrays = [F.array(*[F.col(f"{p}{side}_{i}") for i in range(width)]).alias(p + side) for p in prefixes for side in ("num", "den")]
+    return df.select(*[c for c in df.columns if c not in gone], *arrays)
+
 
+def flattened(df: DataFrame, width: int) -> DataFrame:
+    """Arrays num and den as flat sums."""
+    flat = [F.get(side, F.lit(i)).alias(f"{side}_{i}") for side in ("num", "den") for i in range(width)]
+    return df.select(*[c for c in df.columns if c not in ("num", "den")], *flat)
 
-def segments(batch: pa.RecordBatch, keys: Sequence[str]) -> tuple[np.ndarray, list[tuple[int, int, tuple]]]:
-    """Row order, and (start, end, key) of each run of equal keys."""
-    order, starts = runs_of(batch, keys)
-    ends = np.r_[starts[1:], len(order)]
-    firsts = batch.select(list(keys)).take(pa.array(order[starts])) if keys else None
-    rows = list(zip(*[firsts.column(k).to_pylist() for k in keys])) if keys else [()] * len(starts)
-    return order, list(zip(starts, ends, rows))
+
+def _added_up(width: int) -> list[Column]:
+    return [F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), *[F.sum(c).alias(c) for c in flat_names(width)]]
+
+
+def runs(batch: pa.RecordBatch, keys: Sequence[str]) -> list[tuple[int, int, tuple]]:
+    """(start, end, key) of each run of equal neighbours."""
+    n = batch.num_rows
+    if not n:
+        return []
+    opens = np.zeros(n, bool)
+    opens[0] = True
+    for name in keys:
+        column = batch.column(name).dictionary_encode()
+        index = column.indices.fill_null(len(column.dictionary)).to_numpy(zero_copy_only=False)
+        opens[1:] |= index[1:] != index[:-1]
+    starts = np.flatnonzero(opens)
+    firsts = batch.select(list(keys)).take(pa.array(starts)) if keys else None
+    rows = list(zip(*[firsts.column(k).to_pylist() for k in keys])) if keys else [()]
+    return list(zip(starts.tolist(), [*starts[1:].tolist(), n], rows))
 
 
 def matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -77,250 +72,145 @@ def matrix(column: pa.Array, width: int) -> np.ndarray:
 
 
 class Sums:
-    """Running sums of one key: a row per metric."""
+    """Running sums of one domain: a row per metric."""
 
     __slots__ = ("n", "lo", "hi", "both")
 
     def __init__(self, n: np.ndarray, lo: np.ndarray, hi: np.ndarray, both: np.ndarray):
-        self.n, self.lo, self.hi, self.both = n, lo, hi, both
+        self.n, self.lo, self.hi, self.both = n.copy(), lo.copy(), hi.copy(), both.copy()
 
-    def add(self, other: Sums) -> None:
-        self.n = self.n + other.n
-        self.lo = np.fmin(self.lo, other.lo)
-        self.hi = np.fmax(self.hi, other.hi)
-        self.both = self.both + other.both
+    def add(self, n: np.ndarray, lo: np.ndarray, hi: np.ndarray, both: np.ndarray) -> None:
+        self.n += n
+        np.fmin(self.lo, lo, out=self.lo)
+        np.fmax(self.hi, hi, out=self.hi)
+        self.both += both
 
 
-def _gather(held: dict, key: tuple, sums: Sums) -> None:
-    if key in held:
-        held[key].add(sums)
-    else:
-        held[key] = sums
-
-
-def _per_set(held: dict, keys: Sequence[str], sets: Sequence[Sequence[str]]) -> dict:
-    """Sums of the finest keys added up to every grouping set; (set number, keys with gaps) -> sums."""
-    out: dict = {}
-    for number, names in enumerate(sets):
-        kept = [k in names for k in keys]
-        for key, sums in held.items():
-            part = (number, *[v if keep else None for v, keep in zip(key, kept)])
-            _gather(out, part, Sums(sums.n, sums.lo, sums.hi, sums.both))
-    return out
-
-
-def _batches(out: dict, metrics: Sequence[str], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+def _batches(held: dict, metrics: Sequence[str], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     per_batch = max(1, OUT_ROWS // len(metrics))
-    items = list(out.items())
-    n_keys = len(schema) - 1 - len(SUM_FIELDS)
+    items = list(held.items())
     for start in range(0, len(items), per_batch):
         chunk = items[start : start + per_batch]
         n = np.concatenate([s.n for _, s in chunk])
-        both = np.stack([s.both for _, s in chunk])
-        used = n > 0
-        width = both.shape[-1]
-
-        def arrays(side: int) -> pa.Array:
-            flat = both[:, side].reshape(-1, width)[used]
-            offsets = np.arange(0, flat.size + 1, width, dtype=np.int32)
-            return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.reshape(-1)))
-
-        where = np.flatnonzero(used)
-        columns = [
-            pa.array([chunk[i // len(metrics)][0][k] for i in where], type=schema.field(k).type) for k in range(n_keys)
-        ]
-        columns += [
-            pa.array([metrics[i % len(metrics)] for i in where], type=pa.string()),
-            pa.array(n[used]),
-            pa.array(np.concatenate([s.lo for _, s in chunk])[used]),
-            pa.array(np.concatenate([s.hi for _, s in chunk])[used]),
-            arrays(0),
-            arrays(1),
-        ]
-        yield pa.RecordBatch.from_arrays(columns, schema=schema)
-
-
-def _arrow_schema(schema: T.StructType) -> pa.Schema:
-    kinds = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "double": pa.float64()}
-    doubles = pa.list_(pa.float64())
-    return pa.schema([pa.field(f.name, kinds.get(f.dataType.simpleString(), doubles)) for f in schema])
-
-
-def _sum_respondents(keys: Sequence[str], metrics: Sequence[str], n_weights: int,
-                     sets: Sequence[Sequence[str]], schema: T.StructType, max_held: int) -> Callable:
-    """Task function: respondents in, sums per grouping set out."""
+        where = np.flatnonzero(n > 0)
+        # sums by column: what Arrow takes without a copy
+        both = np.concatenate([s.both for _, s in chunk], axis=1)[:, where]
+        sums = both.transpose(0, 2, 1).reshape(-1, len(where))
+        place, metric = np.divmod(where, len(metrics))
+        keys = [pa.array([chunk[p][0][k] for p in place.tolist()], type=schema.field(k).type) for k in range(len(chunk[0][0]))]
+        yield pa.RecordBatch.from_arrays([
+            *keys, pa.array([metrics[m] for m in metric.tolist()], pa.string()), pa.array(n[where]),
+            *[pa.array(np.concatenate([getattr(s, side) for _, s in chunk])[where]) for side in ("lo", "hi")],
+            *[pa.array(column) for column in np.ascontiguousarray(sums)]], schema=schema)
+
+
+def _sum_respondents(keys: Sequence[str], metrics: Sequence[str], n_weights: int, sets: Sequence[Sequence[str]],
+                     schema: pa.Schema, max_held: int) -> Callable:
+    """Task function: respondents in key order in, sums of the domains of every grouping set out.
+
+    Only the domains of the sets are held. Those of one leading key are complete when the next begins, if all sets
+    have it.
+    """
+    shape = [[k in names for k in keys] for names in sets]
+    leading = all(s[0] for s in shape) if keys else False
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out_schema, held = _arrow_schema(schema), {}
+        held: dict[tuple, Sums] = {}
+        current = None
         for batch in batches:
-            order, runs = segments(batch, keys)
-            weight = np.nan_to_num(matrix(batch.column("w"), n_weights), nan=0.0)[order]
-            value = matrix(batch.column("x"), len(metrics))[order]
+            weight = np.nan_to_num(matrix(batch.column("w"), n_weights), nan=0.0)
+            value = matrix(batch.column("x"), len(metrics))
             given = ~np.isnan(value)
             # numerators and denominators in one product: first x (0 if not given), then given
             left = np.concatenate([np.where(given, value, 0.0), given], axis=1)
             low, high = np.where(given, value, np.inf), np.where(given, value, -np.inf)
-            for start, end, key in runs:
+            for start, end, key in runs(batch, keys):
+                if held and (len(held) > max_held or (leading and key[0] != current)):
+                    yield from _batches(held, metrics, schema)
+                    held = {}
+                current = key[0] if keys else None
                 rows = slice(start, end)
-                both = (left[rows].T @ weight[rows]).reshape(2, len(metrics), n_weights)
-                _gather(held, key, Sums(given[rows].sum(0), low[rows].min(0), high[rows].max(0), both))
-            if len(held) > max_held:
-                yield from _batches(_per_set(held, keys, sets), metrics, out_schema)
-                held = {}
-        yield from _batches(_per_set(held, keys, sets), metrics, out_schema)
-
-    return run
-
-
-def _compacted(batches: list[pa.RecordBatch], names: Sequence[str]) -> pa.RecordBatch:
-    """Cube rows with equal keys added up."""
-    (batch,) = pa.Table.from_batches(batches).combine_chunks().to_batches()
-    order, starts = runs_of(batch, names)
-    width = len(batch.column("num")[0])
-    offsets = pa.array(np.arange(0, len(starts) * width + 1, width, dtype=np.int32))
-
-    def reduced(name: str, how: np.ufunc) -> np.ndarray:
-        return how.reduceat(batch.column(name).to_numpy(zero_copy_only=False)[order], starts)
-
-    def reduced_lists(name: str) -> pa.Array:
-        sums = np.add.reduceat(matrix(batch.column(name), width)[order], starts, axis=0)
-        return pa.ListArray.from_arrays(offsets, pa.array(sums.reshape(-1)))
-
-    firsts = batch.select(list(names)).take(pa.array(order[starts]))
-    columns = [*firsts.columns, pa.array(reduced("n", np.add)), pa.array(reduced("lo", np.minimum)),
-               pa.array(reduced("hi", np.maximum)), reduced_lists("num"), reduced_lists("den")]
-    return pa.RecordBatch.from_arrays(columns, schema=batch.schema)
-
-
-def _in_set(batch: pa.RecordBatch, number: int, kept: Sequence[str], keys: Sequence[str],
-            schema: pa.Schema) -> pa.RecordBatch:
-    """The rows of a cube as rows of one grouping set."""
-    rows = batch.num_rows
-    columns = [pa.array(np.full(rows, number, dtype=np.int32))]
-    columns += [batch.column(k) if k in kept else pa.nulls(rows, schema.field(k).type) for k in keys]
-    columns += [batch.column(c) for c in ("metric", *SUM_FIELDS)]
-    return pa.RecordBatch.from_arrays(columns, schema=schema)
-
-
-def _sum_cells(keys: Sequence[str], sets: Sequence[Sequence[str]] | None, schema: T.StructType) -> Callable:
-    """Task function: cube rows in, cube rows out with equal keys added up.
-
-    With ``sets`` the rows are those of one cube and go to each grouping set;
-    without, they are partial rows of the same sets. What is held is added up
-    whenever it has doubled, so it stays near the number of distinct keys.
-    """
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out_schema = _arrow_schema(schema)
-        names = ["set_id", *keys, "metric"]
-        held: list[pa.RecordBatch] = []
-        rows, limit = 0, HELD_ROWS
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            if sets is None:
-                incoming = [pa.RecordBatch.from_arrays(batch.columns, schema=out_schema)]
-            else:
-                incoming = [_in_set(batch, i, kept, keys, out_schema) for i, kept in enumerate(sets)]
-            held += incoming
-            rows += sum(b.num_rows for b in incoming)
-            if rows > limit:
-                held = [_compacted(held, names)]
-                rows = held[0].num_rows
-                limit = max(HELD_ROWS, 2 * rows)
+                sums = (given[rows].sum(0), low[rows].min(0), high[rows].max(0),
+                        (left[rows].T @ weight[rows]).reshape(2, len(metrics), n_weights))
+                for number, kept in enumerate(shape):
+                    domain = (number, *[v if keep else None for v, keep in zip(key, kept)])
+                    if domain in held:
+                        held[domain].add(*sums)
+                    else:
+                        held[domain] = Sums(*sums)
         if held:
-            out = _compacted(held, names)
-            for start in range(0, out.num_rows, OUT_ROWS):
-                yield out.slice(start, OUT_ROWS)
+            yield from _batches(held, metrics, schema)
 
     return run
 
 
-def _merge(partial: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Bring partial sums of the same key together and add them up as they stream in."""
-    names = ["set_id", *keys, "metric"]
-    return partial.repartition(*names).mapInArrow(_sum_cells(keys, None, partial.schema), partial.schema)
+def _partial_schema(key_fields: Sequence[T.StructField], width: int) -> tuple[str, pa.Schema]:
+    """Names and types of what tasks hand on, for Spark and for Arrow."""
+    kinds = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "double": pa.float64()}
+    fields = [("set_id", "int"), *[(f.name, f.dataType.simpleString()) for f in key_fields], ("metric", "string"), ("n", "bigint"),
+              *[(c, "double") for c in ("lo", "hi", *flat_names(width))]]
+    return ", ".join(f"`{n}` {t}" for n, t in fields), pa.schema([pa.field(n, kinds[t]) for n, t in fields])
 
 
 def grouped_sums(df: DataFrame, design: SurveyDesign, metrics: Sequence[str], keys: Sequence[str],
                  sets: Sequence[Sequence[str]] | None = None, max_held: int = MAX_HELD) -> DataFrame:
-    """Sums of every metric for each grouping set of the keys.
+    """Flat sums of every metric for each grouping set of the keys.
 
-    ``set_id`` numbers the sets in the order given; keys outside a set are
-    null. Every task adds up its own respondents first, so the shuffle carries
-    domains, not respondents, and a hot key is no larger than any other. Tasks
-    emit least when the microdata is laid out by week.
+    ``set_id`` numbers the sets in the order given; keys outside a set are null. Every task sorts its own respondents
+    by the keys and adds them up first, so the shuffle carries the domains that a task has respondents of, whatever the order
+    of the rows, and a hot key is no larger than any other. Tasks have fewest where the microdata is laid out by the first key.
     """
-    sets = [list(keys)] if sets is None else sets
-    schema = cube_schema([df.schema[k] for k in keys])
-    packed = df.select(*keys, F.array(*design.columns).alias("w"), F.array(*metrics).alias("x"))
-    task = _sum_respondents(list(keys), list(metrics), len(design.columns), [list(s) for s in sets], schema,
-                            max_held)
-    return _merge(packed.mapInArrow(task, schema), keys)
+    sets = [list(keys)] if sets is None else [list(s) for s in sets]
+    width = len(design.columns)
+    names, schema = _partial_schema([df.schema[k] for k in keys], width)
+    rows = df.select(*keys, F.array(*design.columns).alias("w"), F.array(*metrics).alias("x"))
+    if keys:
+        rows = rows.sortWithinPartitions(*keys)
+    partial = rows.mapInArrow(_sum_respondents(list(keys), list(metrics), width, sets, schema, max_held), names)
+    return partial.groupBy("set_id", *keys, "metric").agg(*_added_up(width))
 
 
 def cell_cube(df: DataFrame, design: SurveyDesign, metrics: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    """Cube at the finest keys, fit to be kept as a table."""
-    return grouped_sums(df, design, metrics, keys).drop("set_id")
-
-
-def roll_up(cube: DataFrame, keys: Sequence[str], sets: Sequence[Sequence[str]]) -> DataFrame:
-    """Cube rows added up to grouping sets of their keys."""
-    schema = cube_schema([cube.schema[k] for k in keys])
-    task = _sum_cells(list(keys), [list(s) for s in sets], schema)
-    return _merge(cube.select(*keys, "metric", *SUM_FIELDS).mapInArrow(task, schema), keys)
-
-
-def with_rest(domains: DataFrame, within: Sequence[str], item: str) -> DataFrame:
-    """Add ``rest_*``: the sums over all other items with the same ``within``.
-
-    The rest is what comes before plus what comes after the item. Subtracting
-    the item from the total instead would lose the digits of a small rest. A
-    group holds one row per population group or geography, so it is small by
-    nature.
+    """Cube at the finest keys, with its sums in arrays, fit to be kept as a table."""
+    return packed(grouped_sums(df, design, metrics, keys).drop("set_id"), len(design.columns))
+
+
+def roll_up(cube: DataFrame, design: SurveyDesign, keys: Sequence[str], sets: Sequence[Sequence[str]]) -> DataFrame:
+    """Cube rows added up to grouping sets of their keys, as ``grouped_sums`` gives them."""
+    width = len(design.columns)
+    flat = flattened(cube.select(*keys, "metric", "n", "lo", "hi", "num", "den"), width)
+    summed = flat.groupingSets([[F.col(c) for c in (*names, "metric")] for names in sets], *keys, "metric").agg(
+        F.grouping_id().alias("_gaps"), *_added_up(width))
+    number = None
+    for i, names in enumerate(sets):
+        # a bit for each key that the set leaves out, the last one for the metric
+        gaps = sum(1 << (len(keys) - at) for at, k in enumerate(keys) if k not in names)
+        number = (F if number is None else number).when(F.col("_gaps") == gaps, i)
+    return summed.select(number.alias("set_id"), *keys, "metric", "n", "lo", "hi", *flat_names(width))
+
+
+def with_rest(domains: DataFrame, design: SurveyDesign, within: Sequence[str], item: str) -> DataFrame:
+    """Add ``rest_*``: the sums over all other items with the same ``within``; all sums become arrays.
+
+    The rest is what comes before plus what comes after the item, two window frames. Subtracting the item from the
+    total instead would lose the digits of a small rest. Both frames grow by a row at a time, so the work is linear; a
+    window has one row per population group or geography.
     """
-    doubles = T.ArrayType(T.DoubleType())
-    added = [("rest_n", T.LongType()), ("rest_lo", T.DoubleType()), ("rest_hi", T.DoubleType()),
-             ("rest_num", doubles), ("rest_den", doubles)]
-    schema = T.StructType([*domains.schema.fields, *[T.StructField(n, t) for n, t in added]])
-
-    def others(values: np.ndarray, combine: np.ufunc, neutral: float) -> np.ndarray:
-        edge = np.full((1, *values.shape[1:]), neutral, dtype=values.dtype)
-        before = np.concatenate([edge, combine.accumulate(values, axis=0)[:-1]])
-        after = np.concatenate([combine.accumulate(values[::-1], axis=0)[-2::-1], edge])
-        return combine(before, after)
-
-    def position(column: pa.ChunkedArray) -> tuple[np.ndarray, int]:
-        coded = column.combine_chunks().dictionary_encode()
-        size = len(coded.dictionary)
-        return coded.indices.fill_null(size).to_numpy(zero_copy_only=False), size + 1
-
-    def run(table: pa.Table) -> pa.Table:
-        rows, n_items = position(table[item])
-        columns, n_metrics = position(table["metric"])
-        width = len(table["num"][0])
-
-        def rest(values: np.ndarray, combine: np.ufunc, neutral: float) -> np.ndarray:
-            """Items by metrics, a gap where a pair does not occur, then all other items of each row."""
-            grid = np.full((n_items, n_metrics, *values.shape[1:]), neutral, dtype=values.dtype)
-            grid[rows, columns] = values
-            return others(grid, combine, neutral)[rows, columns]
-
-        offsets = pa.array(np.arange(0, len(rows) * width + 1, width, dtype=np.int32))
-
-        def rest_lists(name: str) -> pa.Array:
-            sums = rest(matrix(table[name].combine_chunks(), width), np.add, 0.0)
-            return pa.ListArray.from_arrays(offsets, pa.array(sums.reshape(-1)))
-
-        results = [
-            pa.array(rest(table["n"].to_numpy(), np.add, 0)),
-            pa.array(rest(table["lo"].to_numpy(), np.minimum, np.inf)),
-            pa.array(rest(table["hi"].to_numpy(), np.maximum, -np.inf)),
-            rest_lists("num"),
-            rest_lists("den"),
-        ]
-        for (name, _), result in zip(added, results):
-            table = table.append_column(name, result)
-        return table
-
-    return domains.groupBy(*within).applyInArrow(run, schema)
+    width = len(design.columns)
+    spec = Window.partitionBy(*within, "metric")
+    frames = [spec.orderBy(order(item)).rowsBetween(Window.unboundedPreceding, -1) for order in (F.asc, F.desc)]
+    totals = ["n", *flat_names(width)]
+    sides = domains.select("*", *[F.sum(c).over(frame).alias(f"_{i}_{c}") for i, frame in enumerate(frames) for c in totals],
+                           *[how(c).over(frame).alias(f"_{i}_{c}") for i, frame in enumerate(frames) for how, c in ((F.min, "lo"), (F.max, "hi"))])
+
+    def both(name: str) -> Column:
+        before, after = F.col(f"_0_{name}"), F.col(f"_1_{name}")
+        if name in ("lo", "hi"):
+            return (F.least if name == "lo" else F.greatest)(before, after)
+        return F.coalesce(before, F.lit(0)) + F.coalesce(after, F.lit(0))
+
+    kept = [c for c in domains.columns if c not in flat_names(width)]
+    return sides.select(
+        *kept, *[both(c).alias(f"rest_{c}") for c in ("n", "lo", "hi")],
+        *[F.array(*[value(f"{side}_{i}") for i in range(width)]).alias(prefix + side)
+          for prefix, value in (("", F.col), ("rest_", both)) for side in ("num", "den")])

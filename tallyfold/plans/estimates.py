@@ -16,7 +16,7 @@ from tallyfold import codebook as cb
 from tallyfold.functions.recode import age_cut, group_name
 from tallyfold.functions.replicates import SurveyDesign, confidence, significance
 from tallyfold.operators.contrast import STATS, contrast
-from tallyfold.operators.cube import SUM_FIELDS, grouped_sums, roll_up, with_rest
+from tallyfold.operators.cube import flat_names, grouped_sums, roll_up, with_rest
 from tallyfold.operators.reshape import literal_array
 
 CELL_KEYS = ("week_num", "state", "cbsa_title", "race")
@@ -78,7 +78,7 @@ def _sets(options: EstimateOptions) -> list[tuple[str, str, list[str]]]:
     return [s for family in FAMILIES if family in set(options.families) for s in sets[family]]
 
 
-def _named_domains(sums: DataFrame, options: EstimateOptions) -> DataFrame:
+def _named_domains(sums: DataFrame, design: SurveyDesign, options: EstimateOptions) -> DataFrame:
     """Geography, kind and group of each domain in place of the set number."""
     sets = _sets(options)
 
@@ -96,7 +96,7 @@ def _named_domains(sums: DataFrame, options: EstimateOptions) -> DataFrame:
         .alias("geography"),
         kind.alias("kind"),
         F.when(kind == "total", cb.TOTAL).otherwise(F.col("race")).alias("race_var"),
-        *SUM_FIELDS,
+        "n", "lo", "hi", *flat_names(len(design.columns)),
     )
     keep_unknown = F.lit(options.null_geo_in_rest)
     return named.where(F.col("geography").isNotNull() | ((F.col("kind") == "total") & keep_unknown))
@@ -105,13 +105,13 @@ def _named_domains(sums: DataFrame, options: EstimateOptions) -> DataFrame:
 def domains(df: DataFrame, design: SurveyDesign, options: EstimateOptions = EstimateOptions()) -> DataFrame:
     """Sums of every domain of the wanted families, from one pass over the microdata."""
     sets = [["week_num", *keys] for _, _, keys in _sets(options)]
-    return _named_domains(grouped_sums(df, design, options.metrics, CELL_KEYS, sets), options)
+    return _named_domains(grouped_sums(df, design, options.metrics, CELL_KEYS, sets), design, options)
 
 
-def domains_of_cube(cube: DataFrame, options: EstimateOptions = EstimateOptions()) -> DataFrame:
+def domains_of_cube(cube: DataFrame, design: SurveyDesign, options: EstimateOptions = EstimateOptions()) -> DataFrame:
     """The same from a cube kept as a table, as when old weeks are published again."""
     sets = [["week_num", *keys] for _, _, keys in _sets(options)]
-    return _named_domains(roll_up(cube, CELL_KEYS, sets), options)
+    return _named_domains(roll_up(cube, design, CELL_KEYS, sets), design, options)
 
 
 def contrasts(domain: DataFrame, design: SurveyDesign) -> DataFrame:
@@ -127,7 +127,7 @@ def contrasts(domain: DataFrame, design: SurveyDesign) -> DataFrame:
             "item": F.when(grouped, F.col("race_var")).otherwise(F.col("geography")),
         }
     )
-    compared = with_rest(scoped, ["week_num", "geo_type", "kind", "scope"], "item")
+    compared = with_rest(scoped, design, ["week_num", "geo_type", "kind", "scope"], "item")
     places = compared.where(F.col("geography").isNotNull()).drop("scope", "item")
     return contrast(places, design, solo=(F.col("geo_type") == NATIONAL) & (F.col("kind") == "total"))
 
@@ -199,7 +199,7 @@ def estimate(df: DataFrame, design: SurveyDesign, options: EstimateOptions = Est
 def estimate_from_cube(cube: DataFrame, design: SurveyDesign, options: EstimateOptions = EstimateOptions(),
                        places: DataFrame | None = None) -> DataFrame:
     """The same from a cube kept as a table."""
-    return dense(contrasts(domains_of_cube(cube, options), design), options, places)
+    return dense(contrasts(domains_of_cube(cube, design, options), design), options, places)
 
 
 def publish_columns(estimates: DataFrame) -> DataFrame:

@@ -1,10 +1,13 @@
 import math
 from itertools import product
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyfold.operators.cube import cell_cube, grouped_sums, roll_up, with_rest
+from tallyfold.operators.cube import _partial_schema, _sum_respondents, cell_cube, flattened, grouped_sums, packed, roll_up, with_rest
+from tallyfold.functions.replicates import SurveyDesign
 from tests.people import DESIGN, METRICS, frame, people
 
 KEYS = ["week_num", "state", "cbsa_title", "race"]
@@ -44,15 +47,15 @@ def check(found, rows, keys):
 def test_cells_equal_plain_sums(spark, max_held):
     rows = people()
     df = grouped_sums(frame(spark, rows), DESIGN, METRICS, KEYS, max_held=max_held)
-    check(as_dict(df, KEYS), rows, KEYS)
+    check(as_dict(packed(df, 5), KEYS), rows, KEYS)
 
 
 def test_grouping_sets_and_roll_up_agree_with_plain_sums(spark):
     rows = people()
     sets = [["week_num", "race"], ["week_num", "state"], []]
     direct = grouped_sums(frame(spark, rows), DESIGN, METRICS, KEYS, sets)
-    rolled = roll_up(cell_cube(frame(spark, rows), DESIGN, METRICS, KEYS), KEYS, sets)
-    for df in (direct, rolled):
+    rolled = roll_up(cell_cube(frame(spark, rows), DESIGN, METRICS, KEYS), DESIGN, KEYS, sets)
+    for df in (packed(direct, 5), packed(rolled, 5)):
         for number, keys in enumerate(sets):
             check(as_dict(df.where(F.col("set_id") == number), keys), rows, keys)
 
@@ -73,7 +76,7 @@ def test_no_rows_give_no_cells(spark):
 def test_rest_is_everybody_else(spark):
     rows = people()
     cells = cell_cube(frame(spark, rows), DESIGN, METRICS, ["week_num", "state", "race"])
-    rest = as_dict(with_rest(cells, ["week_num", "state"], "race"), ["week_num", "state", "race"])
+    rest = as_dict(with_rest(flattened(cells, 5), DESIGN, ["week_num", "state"], "race"), ["week_num", "state", "race"])
     for week, state, race in product(("wk13", "wk14"), ("AA", "BB", "CC"), ("asian", "black", "white", None)):
         for metric in METRICS:
             row = rest.get((week, state, race, metric))
@@ -84,12 +87,33 @@ def test_rest_is_everybody_else(spark):
             assert row["rest_n"] == sums[0]
             assert row["rest_num"] == pytest.approx(sums[1])
             assert row["rest_den"] == pytest.approx(sums[2])
-            assert (row["rest_lo"], row["rest_hi"]) == (sums[3], sums[4])
+            assert (row["rest_lo"], row["rest_hi"]) == ((sums[3], sums[4]) if sums[0] else (None, None))
 
 
 def test_a_tiny_rest_keeps_its_digits(spark):
     rows = [("wk1", "big", "m", 3, 0.0, 1.0, [6e15], [9e15]), ("wk1", "small", "m", 2, 0.0, 1.0, [0.1], [0.3])]
     df = spark.createDataFrame(rows, "week_num string, race string, metric string, n bigint, lo double, hi double,"
                                      " num array<double>, den array<double>")
-    out = {r["race"]: r for r in with_rest(df, ["week_num"], "race").collect()}
+    one = SurveyDesign("pweight", ())
+    out = {r["race"]: r for r in with_rest(flattened(df, 1), one, ["week_num"], "race").collect()}
     assert out["big"]["rest_num"] == [0.1] and out["big"]["rest_den"] == [0.3]
+
+
+def test_a_task_hands_on_its_domains_and_no_more():
+    rows = sorted(people(2000), key=lambda p: [(p[k] is not None, p[k] or "") for k in KEYS])
+    sets = [["week_num"], ["week_num", "race"], ["week_num", "state", "race"]]
+    names, schema = _partial_schema([T.StructField(k, T.StringType()) for k in KEYS], 5)
+    task = _sum_respondents(KEYS, ["m_plain", "m_never"], 5, sets, schema, 4000)
+    batches = [pa.RecordBatch.from_pydict({
+        **{k: pa.array([p[k] for p in rows[i : i + 97]], pa.string()) for k in KEYS}, "w": [p["w"] for p in rows[i : i + 97]],
+        "x": pa.array([[p["m_plain"], None] for p in rows[i : i + 97]], pa.list_(pa.float64()))}) for i in range(0, len(rows), 97)]
+    handed = [r for batch in task(batches) for r in batch.to_pylist()]
+    wanted = sum(len(expected(rows, keys, "m_plain")) for keys in sets)
+    assert len(handed) == wanted and sum(r["n"] for r in handed if r["set_id"] == 0) == sum(p["m_plain"] is not None for p in rows)
+    assert names.count("num_") == 5
+
+
+def test_no_python_group_function_in_the_rest(spark):
+    cells = flattened(cell_cube(frame(spark, people(50)), DESIGN, METRICS, ["week_num", "race"]), 5)
+    plan = with_rest(cells, DESIGN, ["week_num"], "race")._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "FlatMapGroups" not in plan

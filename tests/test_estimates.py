@@ -182,7 +182,8 @@ def test_checks_find_a_wrong_cube(spark):
     options = es.EstimateOptions(metrics=METRICS, groups=GROUPS, families=(es.GEO_GROUP, es.US_GROUP))
     sides = qc.respondent_sides(df, DESIGN, ("state", "msa", "national"), METRICS, GROUPS)
     domain = es.domains(df, DESIGN, options)
-    shifted = domain.withColumn("num", F.when(F.col("race_var") == "black", F.transform("num", lambda v: v * 1.01)).otherwise(F.col("num")))
+    shifted = domain.withColumns({f"num_{i}": F.when(F.col("race_var") == "black", F.col(f"num_{i}") * 1.01).otherwise(F.col(f"num_{i}"))
+                                  for i in range(len(DESIGN.columns))})
     wrong = es.dense(es.contrasts(shifted, DESIGN), options)
     for checked in (qc.regression_check(sides, wrong, DESIGN), qc.manual_check(qc.manual_contrasts(sides, DESIGN), wrong)):
         flags = {(r["metric"], r["race_var"]): r["agree"] for r in checked.where("geo_type = 'national'").collect()}
