@@ -16,8 +16,8 @@ def snake(name: str) -> str:
 
 
 def snake_case(df: DataFrame) -> DataFrame:
-    """Rename every column to snake case; two columns must not meet in one name."""
-    names = [snake(c) for c in df.columns]
+    """Rename every column to snake case, but for those that begin with one; two columns must not meet in one name."""
+    names = [c if c.startswith("_") else snake(c) for c in df.columns]
     clashes = sorted({n for n in names if names.count(n) > 1})
     if clashes:
         raise ValueError(f"columns meet in one name: {clashes}")

@@ -143,8 +143,8 @@ def test_extra_and_missing_columns_raise_or_are_null(spark, tmp_path):
     template = str(tmp_path / "weights_{week:02d}.csv")
     with pytest.raises(ValueError, match="new"):
         microdata.read_weights(spark, template, [46, 47])
-    scan = microdata._text_scan(spark, [microdata.period_path(template, w) for w in (46, 47)], allow_extra=True)
-    assert {(r["scram"], r["new"], r["pweight"]) for r in scan.collect()} == {("a", None, "1"), ("b", "5", "2")}
+    scan = microdata.read_weights(spark, template, (46, 47), allow_extra=True)
+    assert {(r["scram"], r["new"], r["pweight"]) for r in scan.collect()} == {("a", None, 1.0), ("b", 5.0, 2.0)}
     _write(tmp_path, "weights_45.csv", "")
     with pytest.raises(ValueError, match="header"):
         microdata.read_weights(spark, template, [45])
@@ -154,3 +154,33 @@ def test_a_period_has_few_files(spark, tmp_path):
     df = spark.range(4000).selectExpr("id", "concat('wk', id % 5) as week_num").repartition(16)
     sinks.write_table(df, str(tmp_path / "t"))
     assert len(list((tmp_path / "t").rglob("part-*.parquet"))) <= 2 * 5
+
+
+def test_bad_lines_end_the_job_or_are_set_aside(spark, tmp_path):
+    _write(tmp_path, "weights_46.csv", "SCRAM,WEEK,PWEIGHT,PWEIGHT1", "a,46,1,10", "", "short,46,1", "long,46,1,2,3", "text,46,1,x", "b,46,NA,7")
+    _write(tmp_path, "weights_47.csv", "PWEIGHT,SCRAM,WEEK,PWEIGHT1", "2,c,47,5", "2,d,47,6")
+    template = str(tmp_path / "weights_{week:02d}.csv")
+    with pytest.raises(Exception, match="weights_46.csv"):
+        microdata.read_weights(spark, template, [46, 47]).collect()
+    scan = microdata.scan_weights(spark, template, [46, 47])
+    good = microdata.good_rows(scan, strict=False)
+    assert sorted((r["scram"], r["pweight"], r["pweight1"]) for r in good.collect()) == [("a", 1.0, 10.0), ("b", None, 7.0), ("c", 2.0, 5.0), ("d", 2.0, 6.0)]
+    bad = {r["line_no"]: r for r in microdata.rejected_rows(scan).collect()}
+    assert {n: (r["problem"], r["line"]) for n, r in bad.items()} == {
+        4: ("not 4 cells", "short,46,1"), 5: ("not 4 cells", "long,46,1,2,3"), 6: ("no number in pweight1", "text,46,1,x")}
+    assert all(r["file"].endswith("/weights_46.csv") for r in bad.values())
+    assert microdata.rejected_rows(microdata.scan_weights(spark, template, [47])).collect() == []
+
+
+def test_line_numbers_of_a_file_read_in_parts(spark, tmp_path):
+    rows = [f"p{i},46,{i},{i if i % 701 else 'x'}" for i in range(1, 5001)]
+    _write(tmp_path, "weights_46.csv", "SCRAM,WEEK,PWEIGHT,PWEIGHT1", *rows)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    try:
+        scan = microdata.scan_weights(spark, str(tmp_path / "weights_{week:02d}.csv"), [46])
+        assert scan.rdd.getNumPartitions() > 3
+        found = sorted((r["line_no"], r["line"]) for r in microdata.rejected_rows(scan).collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert found == [(i + 1, f"p{i},46,{i},x") for i in range(701, 5001, 701)]
