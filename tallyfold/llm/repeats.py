@@ -39,9 +39,9 @@ SIDE = (WINDOW - SEED_BYTES) // 2
 #: Text that is cut at once and of which copies are resolved, and the part of it that is hashed at once.
 SLICE_BYTES, HASHED_BYTES = 1 << 23, 1 << 20
 #: Text whose pieces go to one task, pieces that are sorted together, and rows and bytes that are handed over at once.
-BUCKET_BYTES, COLLECTION_BYTES, ROWS_AT_ONCE, BYTES_AT_ONCE = 1 << 25, 1 << 21, 256, 1 << 23
-#: Level of zstandard, and bits of a piece's hash that are sent.
-LEVEL, SENT_BITS = 5, 24
+BUCKET_BYTES, COLLECTION_BYTES, ROWS_AT_ONCE, BYTES_AT_ONCE = 1 << 24, 1 << 21, 256, 1 << 22
+#: Bytes of pieces that are sent in a row, level of zstandard, and bits of a piece's hash that are sent.
+PARCEL_BYTES, LEVEL, SENT_BITS = 1 << 19, 5, 24
 NO_ID = np.iinfo(np.int64).max
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 PARCEL = "bucket int, meta binary, contents binary"
@@ -49,13 +49,13 @@ RANGES = "doc long, print long, begin long, until long"
 
 
 def seed_hashes(data: np.ndarray) -> np.ndarray:
-    """Hash of the SEED_BYTES bytes (two words of 8) from every place."""
+    """Hash of the SEED_BYTES bytes from every place, which two words of 8 bytes cover."""
     n = len(data) - SEED_BYTES + 1
     words = np.empty(len(data) - 7, np.uint64)
     for i in range(8):
         part = data[i : i + (len(data) - i) // 8 * 8].view("<u8")
         words[i::8] = part[: len(words[i::8])]
-    return mix(words[:n] * _A + words[8 : 8 + n] * _B)
+    return mix(words[:n] * _A + words[SEED_BYTES - 8 :][:n] * _B)
 
 
 def least_in_window(hashes: np.ndarray) -> np.ndarray:
@@ -176,17 +176,19 @@ def parcels(docs: np.ndarray, prints: np.ndarray, texts: list[bytes], n_buckets:
     here = np.flatnonzero(~later)
     here = here[np.argsort(new_code[code[here]], kind="stable")]
     places = new_code[code[here]]
-    cuts = np.searchsorted(home[order], np.arange(n_buckets + 1))
-    place_cuts = np.searchsorted(places, cuts)
-    for bucket in np.flatnonzero(np.diff(cuts)).tolist():
-        own = order[cuts[bucket] : cuts[bucket + 1]]
-        found = here[place_cuts[bucket] : place_cuts[bucket + 1]]
+    # a parcel has contents of one bucket, and of PARCEL_BYTES at most
+    sizes = size[first[order]]
+    part = home[order] * (len(order) + 1) + np.cumsum(sizes) // PARCEL_BYTES
+    opens = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(order) else np.zeros(0, np.int64)
+    closes = np.append(opens[1:], len(order))
+    place_cuts = np.searchsorted(places, np.append(opens, len(order)))
+    for i, (x, y) in enumerate(zip(opens.tolist(), closes.tolist())):
+        own, found = order[x:y], here[place_cuts[i] : place_cuts[i + 1]]
         rows, row = np.unique(text[found], return_inverse=True)
-        content = places[place_cuts[bucket] : place_cuts[bucket + 1]] - cuts[bucket]
-        body = b"".join(contents[own])
-        yield bucket, _packed(docs[rows].view(np.uint64), prints[rows].view(np.uint64), row.astype(np.uint32), at[found].astype(np.uint64),
-                              _steps(content, "<u4"), size[first[own]].astype(np.uint8), (hashed[own] & np.uint64((1 << SENT_BITS) - 1)).astype(np.uint32)), \
-            zstandard.compress(body, LEVEL)
+        content = places[place_cuts[i] : place_cuts[i + 1]] - x
+        yield int(home[own[0]]), _packed(
+            docs[rows].view(np.uint64), prints[rows].view(np.uint64), row.astype(np.uint32), at[found].astype(np.uint64), _steps(content, "<u4"),
+            sizes[x:y].astype(np.uint8), (hashed[own] & np.uint64((1 << SENT_BITS) - 1)).astype(np.uint32)), zstandard.compress(b"".join(contents[own]), LEVEL)
 
 
 def _candidates(pieces: list[bytes], seeds: np.ndarray, least: np.ndarray) -> np.ndarray:
@@ -207,14 +209,15 @@ def _candidates(pieces: list[bytes], seeds: np.ndarray, least: np.ndarray) -> np
     lowest = np.minimum.reduceat(hashes, starts)
     at = np.flatnonzero(hashes == lowest[piece])
     owner, hashed = piece[at], hashes[at]
-    # SIDE bytes as hashes of 16 bytes, the second of which overlaps the first
-    rest = SIDE - SEED_BYTES
+    # SIDE bytes by the hashes of parts of them, the last of which overlaps the one before
+    steps = [*range(0, SIDE - SEED_BYTES, SEED_BYTES), SIDE - SEED_BYTES]
     behind, before = at + SEED_BYTES, at - SIDE
     keys, owners = [], []
-    for first, second, fits, salt in ((behind, behind + rest, behind + SIDE <= ends[owner], _A),
-                                      (before, before + rest, before >= starts[owner], _B)):
-        a, b = hashes[first[fits]], hashes[second[fits]]
-        keys.append(mix(mix(mix(hashed[fits] * salt + seeds[owner[fits]]) + a) * _A + b))
+    for first, fits, salt in ((behind, behind + SIDE <= ends[owner], _A), (before, before >= starts[owner], _B)):
+        key = mix(hashed[fits] * salt + seeds[owner[fits]])
+        for step in steps:
+            key = mix(key * _A + hashes[first[fits] + step])
+        keys.append(key)
         owners.append(owner[fits])
     key, owner = np.concatenate(keys), np.concatenate(owners)
     order = np.argsort(key, kind="stable")
@@ -362,17 +365,32 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
         return settle(sent.repartitionById(int(n_buckets), F.col("bucket")).select("meta", "contents").mapInArrow(compare, RANGES), "zstd")
 
 
+def _compressed(docs: DataFrame) -> DataFrame:
+    """doc_id, address and compressed text: what the join with the ranges shuffles."""
+    schema = pa.schema([("doc_id", pa.int64()), ("doc", pa.int64()), ("print", pa.int64()), ("text", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            texts = pa.array([packer.compress(t.as_buffer()) for t in batch.column("text")], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], texts], schema=schema)
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_address(docs))
+    return rows.mapInArrow(run, "doc_id long, doc long, print long, text binary")
+
+
 def without_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, spans (maximal runs of removed bytes) and kept (the other bytes) of every row."""
     ranges = repeated_ranges(docs).groupBy("doc", "print").agg(F.collect_list("begin").alias("begins"), F.collect_list("until").alias("untils"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_address(docs)).join(ranges, ["doc", "print"], "left")
+    rows = _compressed(docs).join(ranges, ["doc", "print"], "left")
     out = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("begins", pa.list_(pa.int64())), ("untils", pa.list_(pa.int64())),
                      ("kept", pa.binary())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for text, begins, untils in zip(*[batch.column(c).to_pylist() for c in ("text", "begins", "untils")]):
+            for packed, begins, untils in zip(*[batch.column(c).to_pylist() for c in ("text", "begins", "untils")]):
+                text = zstandard.decompress(packed)
                 begin, until = np.array(begins or [], np.int64), np.array(untils or [], np.int64)
                 _, begin, until = merged(np.zeros(len(begin), np.int64), begin, until)
                 edges = [0, *np.stack([begin, until], axis=1).reshape(-1).tolist(), len(text)]
