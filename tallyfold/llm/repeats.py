@@ -39,7 +39,7 @@ SIDE = (WINDOW - SEED_BYTES) // 2
 #: Text that is cut at once and of which copies are resolved, and the part of it that is hashed at once.
 SLICE_BYTES, HASHED_BYTES = 1 << 23, 1 << 20
 #: Text whose pieces go to one task, pieces that are sorted together, and rows and bytes that are handed over at once.
-BUCKET_BYTES, COLLECTION_BYTES, ROWS_AT_ONCE, BYTES_AT_ONCE = 1 << 24, 1 << 21, 256, 1 << 22
+BUCKET_BYTES, COLLECTION_BYTES, ROWS_AT_ONCE, BYTES_AT_ONCE = 1 << 25, 1 << 21, 256, 1 << 22
 #: Bytes of pieces that are sent in a row, level of zstandard, and bits of a piece's hash that are sent.
 PARCEL_BYTES, LEVEL, SENT_BITS = 1 << 19, 5, 24
 NO_ID = np.iinfo(np.int64).max
@@ -178,16 +178,18 @@ def parcels(docs: np.ndarray, prints: np.ndarray, texts: list[bytes], n_buckets:
     places = new_code[code[here]]
     # a parcel has contents of one bucket, and of PARCEL_BYTES at most
     sizes = size[first[order]]
+    begins = np.cumsum([0, *[len(t) for t in texts[:-1]]])
     part = home[order] * (len(order) + 1) + np.cumsum(sizes) // PARCEL_BYTES
     opens = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(order) else np.zeros(0, np.int64)
     closes = np.append(opens[1:], len(order))
     place_cuts = np.searchsorted(places, np.append(opens, len(order)))
     for i, (x, y) in enumerate(zip(opens.tolist(), closes.tolist())):
         own, found = order[x:y], here[place_cuts[i] : place_cuts[i + 1]]
-        rows, row = np.unique(text[found], return_inverse=True)
+        rows = np.unique(text[found])
         content = places[place_cuts[i] : place_cuts[i + 1]] - x
+        # places on a scale of all texts of the slice, mostly in order
         yield int(home[own[0]]), _packed(
-            docs[rows].view(np.uint64), prints[rows].view(np.uint64), row.astype(np.uint32), at[found].astype(np.uint64), _steps(content, "<u4"),
+            _steps(docs[rows], "<i8"), prints[rows], _steps(begins[rows], "<i8"), _steps(begins[text[found]] + at[found], "<i8"), _steps(content, "<u4"),
             sizes[x:y].astype(np.uint8), (hashed[own] & np.uint64((1 << SENT_BITS) - 1)).astype(np.uint32)), zstandard.compress(b"".join(contents[own]), LEVEL)
 
 
@@ -233,10 +235,11 @@ def _candidates(pieces: list[bytes], seeds: np.ndarray, least: np.ndarray) -> np
 def _window_ranges(pieces: list[bytes], least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Piece and ranges of windows that a piece with a smaller document has too."""
     sizes = np.array([len(p) for p in pieces], np.int64)
-    string, length, common = sorted_suffixes(np.frombuffer(b"".join(pieces), np.uint8), np.cumsum(sizes) - sizes, sizes)
+    string, length, common = sorted_suffixes(np.frombuffer(b"".join(pieces), np.uint8), np.cumsum(sizes) - sizes, sizes, WINDOW)
     opens = np.flatnonzero(common < WINDOW)
     lowest = np.repeat(np.minimum.reduceat(least[string], opens), np.diff(np.append(opens, len(string))))
-    hit = lowest < least[string]
+    # a shorter suffix is a class of its own, whichever it is
+    hit = (lowest < least[string]) & (length >= WINDOW)
     begin = sizes[string[hit]] - length[hit]
     return merged(string[hit], begin, begin + WINDOW)
 
@@ -258,14 +261,14 @@ def _collections(seeds: np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
 def resolve(blobs: list[tuple[bytes, bytes | None]]) -> Iterator[pd.DataFrame]:
     """Ranges to remove, from all parcels of a task."""
     def frame(docs, prints, begin, until):
-        return pd.DataFrame({"doc": docs.view(np.int64), "print": prints.view(np.int64), "begin": begin, "until": until})
+        return pd.DataFrame({"doc": docs, "print": prints, "begin": begin, "until": until})
 
     metas = []
     for meta, contents in blobs:
-        columns = _unpacked(meta)
+        columns = [c.view(f"<i{c.dtype.itemsize}") if c.dtype.itemsize == 8 else c for c in _unpacked(meta)]
         if contents is None:
             docs, prints, row, begin, until = columns
-            yield frame(docs[row], prints[row], begin.astype(np.int64), until.astype(np.int64))
+            yield frame(docs[row], prints[row], begin, until)
         else:
             metas.append((columns, contents))
     if not metas:
@@ -276,16 +279,17 @@ def resolve(blobs: list[tuple[bytes, bytes | None]]) -> Iterator[pd.DataFrame]:
     repeated[shared[1:][shared[1:] == shared[:-1]]] = True
     number: dict[bytes, int] = {}
     seeds, least, found = [], [], []
-    for (docs, prints, row, at, steps, sizes, seed), contents in metas:
+    for (doc_steps, prints, begin_steps, place_steps, steps, sizes, seed), contents in metas:
         wanted = np.flatnonzero(repeated[seed])
         if not len(wanted):
             continue
         raw = zstandard.decompress(contents)
         ends = np.cumsum(sizes.astype(np.int64))
-        content = np.cumsum(steps.astype(np.int64))
+        content, docs, begins, places = (np.cumsum(c.astype(np.int64)) for c in (steps, doc_steps, begin_steps, place_steps))
+        row = np.searchsorted(begins, places, "right") - 1
         # the places of a content are all in its least document of the slice
         first = np.searchsorted(content, wanted)
-        lowest = docs.view(np.int64)[row[first]]
+        lowest = docs[row[first]]
         piece = np.full(len(sizes), -1)
         for c, d in zip(wanted.tolist(), lowest.tolist()):
             p = number.setdefault(raw[ends[c] - sizes[c] : ends[c]], len(number))
@@ -296,11 +300,11 @@ def resolve(blobs: list[tuple[bytes, bytes | None]]) -> Iterator[pd.DataFrame]:
                 least[p] = min(least[p], d)
             piece[c] = p
         own = np.flatnonzero(piece[content] >= 0)
-        found.append((piece[content[own]], docs[row[own]], prints[row[own]], at[own].astype(np.int64)))
+        found.append((piece[content[own]], docs[row[own]], prints[row[own]], places[own] - begins[row[own]]))
     pieces, seeds, least = list(number), np.array(seeds, np.uint32), np.array(least, np.int64)
     sizes = np.array([len(p) for p in pieces], np.int64)
     piece, docs, prints, at = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.int64),) * 4
-    later = docs.view(np.int64) > least[piece]
+    later = docs > least[piece]
     yield frame(docs[later], prints[later], at[later], at[later] + sizes[piece[later]])
     # windows of a content's least document, where another content with the same seed and another document may have them
     group, inverse = np.unique(seeds, return_inverse=True)

@@ -28,10 +28,11 @@ def _least_between(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> n
     return out
 
 
-def sorted_suffixes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def sorted_suffixes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, least: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All non-empty suffixes of ``data[start : start + size]`` in order: string, length, bytes in common with the one above.
 
-    Strings have 1 to 255 bytes; ends of strings are below all bytes and differ from each other.
+    Strings have 1 to 255 bytes; ends of strings are below all bytes and differ from each other. Of suffixes shorter than
+    ``least`` it is not kept which they are: they have length 0.
     """
     m = len(sizes)
     if not m:
@@ -43,7 +44,7 @@ def sorted_suffixes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) ->
     before = data[starts + sizes - 1]
     common = np.zeros(m, np.uint8)
     kind = np.uint32 if m < 1 << (32 - _LENGTH_BITS) else np.uint64
-    which = string.astype(kind) << kind(_LENGTH_BITS)
+    which = None  # from the round of the least length on
     at, own = string, string  # place of every growing string's last suffix, and the strings
     for length in range(1, int(sizes.max()) + 1):
         growing = sizes[own] >= length
@@ -51,9 +52,9 @@ def sorted_suffixes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) ->
         # where the suffix of each place goes when its symbol is put before it
         order = np.argsort(before, kind="stable")
         order = order[: len(order) - int(np.count_nonzero(before == END))]
-        rank = np.empty(len(before), np.int64)
-        rank[order] = np.arange(len(order))
-        ranks = rank[at]
+        rank = np.empty(len(before), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
+        ranks = rank[at].astype(np.int64)
         place = m + ranks
         symbol = before[at]
         above = order[np.maximum(ranks - 1, 0)]
@@ -68,14 +69,21 @@ def sorted_suffixes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) ->
         next_symbol = np.where(sizes[own] > length, data[np.maximum(starts[own] + sizes[own] - 1 - length, 0)], END).astype(np.uint8)
         fresh = np.zeros(len(before) + len(at), bool)
         fresh[place] = True
+        old = ~fresh
+        columns = [(before, next_symbol), (common, shared)]
+        if length >= least:
+            columns.append((np.zeros(len(before), kind) if which is None else which, (own.astype(kind) << kind(_LENGTH_BITS)) | kind(length)))
         merged = []
-        for column, added in ((before, next_symbol), (common, shared), (which, (own.astype(kind) << kind(_LENGTH_BITS)) | kind(length))):
+        for column, added in columns:
             out = np.empty(len(fresh), column.dtype)
             out[fresh] = added[new]
-            out[~fresh] = column
+            out[old] = column
             merged.append(out)
-        before, common, which = merged
+        before, common, *rest = merged
+        which = rest[0] if rest else None
         common[place[has_below] + 1] = shared_below
         at = place
+    if which is None:
+        which = np.zeros(len(before), kind)
     # the first places are the empty suffixes
     return (which[m:] >> kind(_LENGTH_BITS)).astype(np.int64), (which[m:] & kind(255)).astype(np.int64), common[m:].astype(np.int64)
