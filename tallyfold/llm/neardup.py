@@ -6,8 +6,9 @@
    not rule a link out. Candidates are confirmed on the full sets. Components of the confirmed links follow.
 3. Crossings: buckets that hold classes of two or more components give the pairs between different components, so
    no pair within a component is made. Shingles that only one of these classes has are counted first: they cannot be
-   shared, which rules out, exactly, most classes that a large group of near copies has lost by too many changes. What
-   is left is confirmed alike, and the components are joined.
+   shared, which rules out, exactly, most classes that a large group of near copies has lost by too many changes. The
+   others are dealt into segments by hash, and the segments' smaller counts bound what two classes share, so that two
+   copies which lost different words make no pair. What is left is confirmed alike, and the components are joined.
 
 A link of similarity 0.75 shares no bucket with probability (1 - 0.75 ** 4) ** 32 = 5e-6, and fails the sketch test
 with about 1e-6. Nothing is cut off: a pair that shares a bucket is confirmed, lies within a confirmed component, or
@@ -41,6 +42,10 @@ _BAND = odd_numbers(BANDS, 13)
 SETS = ("doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, "
         "sketch_0 long, sketch_1 long, sketch_2 long, sketch_3 long")
 SKETCH = [f"sketch_{i}" for i in range(4)]
+#: Segments into which shingles are dealt by hash, and counts of a segment that have a bit of their own.
+SEGMENT_BITS, LEVELS = 8, 3
+SEGMENTS = 1 << SEGMENT_BITS
+LEVEL_BITS = [f"level_{i}" for i in range(LEVELS * SEGMENTS // 64)]
 
 
 def minima(sets: list[np.ndarray]) -> np.ndarray:
@@ -109,9 +114,12 @@ def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
         small(ids), "doc_id", "left_semi")
 
 
-def _shareable(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """set_a, set_b, n_own: shingles of a class that no other text has. A doc_id may have several texts, so it is no key."""
+def _levels(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """set_a, set_b, shareable, LEVEL_BITS, excess: shingles of a class that another text has too, dealt into SEGMENTS by hash.
 
+    Bit i of level k tells that segment i has k shingles or more, and ``excess`` counts those beyond the last level. Two
+    classes share no more than the segments' smaller counts, which the bits of both levels give. A doc_id may have several texts, so it is no key.
+    """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = encoded(batch["text"])
@@ -123,7 +131,44 @@ def _shareable(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
     counts = _texts_of(docs, ids).mapInPandas(run, "shingle long, n long, set_a long, set_b long").groupBy("shingle").agg(
         F.sum("n").alias("n"), F.min("set_a").alias("set_a"), F.min("set_b").alias("set_b"))
-    return counts.where("n = 1").groupBy("set_a", "set_b").agg(F.count(F.lit(1)).alias("n_own"))
+    # as many as a text has shingles, at most
+    own = counts.where("n = 1").groupBy("set_a", "set_b").agg(F.collect_list("shingle").alias("own"))
+
+    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            texts = encoded(batch["text"])
+            for a, b in slices([len(t) for t in texts]):
+                sets = shingle_sets(words_of(texts[a:b]))
+                prints = fingerprints(sets)
+                yield pd.DataFrame({"set_a": prints[:, 0], "set_b": prints[:, 1],
+                                    "per_segment": [np.bincount(_segments(s), minlength=SEGMENTS).astype(np.int32) for s in sets]})
+
+    totals = _texts_of(docs, ids).mapInPandas(whole, "set_a long, set_b long, per_segment array<int>").dropDuplicates(["set_a", "set_b"])
+
+    def bits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            left = np.zeros((len(batch), SEGMENTS), np.int64)
+            for i, (n, gone) in enumerate(zip(batch["per_segment"], batch["own"])):
+                left[i] = n
+                if gone is not None and len(gone):
+                    left[i] -= np.bincount(_segments(np.asarray(gone, np.int64).view(np.uint64)), minlength=SEGMENTS)
+            out = {"set_a": batch["set_a"], "set_b": batch["set_b"], "shareable": left.sum(axis=1),
+                   "excess": np.maximum(left - LEVELS, 0).sum(axis=1)}
+            words = np.concatenate([np.packbits(left >= k, axis=1, bitorder="little").view("<i8") for k in range(1, LEVELS + 1)], axis=1)
+            yield pd.DataFrame(out | {c: words[:, i] for i, c in enumerate(LEVEL_BITS)})
+
+    return totals.join(own, ["set_a", "set_b"], "left").mapInPandas(
+        bits, "set_a long, set_b long, shareable long, excess long, " + ", ".join(f"{c} long" for c in LEVEL_BITS))
+
+
+def _segments(shingles: np.ndarray) -> np.ndarray:
+    return (mix(shingles * _B[0]) >> np.uint64(64 - SEGMENT_BITS)).astype(np.int64)
+
+
+def _most_shared(a: str, b: str) -> Column:
+    """An upper bound of the shingles that two classes share."""
+    both = sum((F.bit_count(F.col(f"{a}.{c}").bitwiseAND(F.col(f"{b}.{c}"))) for c in LEVEL_BITS), F.lit(0).cast("long"))
+    return both + F.least(f"{a}.excess", f"{b}.excess")
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
@@ -200,12 +245,13 @@ def _crossing_pairs(classes: DataFrame, found: DataFrame, docs: DataFrame, perce
         F.max(F.struct("n", "part")).alias("top")).select("band", "key", F.col("top.part").alias("main"))
     ids = settle(inside.select("doc_id").distinct())
     with arrow_rows(docs.sparkSession, ROWS_AT_ONCE):
-        own = settle(_shareable(docs, ids))
-    marked = settle(inside.join(main, ["band", "key"]).join(small(own), ["set_a", "set_b"], "left").withColumn(
-        "shareable", F.col("n_shingles") - F.coalesce("n_own", F.lit(0))).join(
-        placed.select("set_a", "set_b", "bands"), ["set_a", "set_b"]))
+        levels = settle(_levels(docs, ids))
+    # a class needs percent / 100 of its shingles shared by any link
+    able = levels.join(placed.select("set_a", "set_b", "n_shingles", "bands"), ["set_a", "set_b"]).where(
+        F.col("shareable") * 100 >= F.col("n_shingles") * percent).drop("n_shingles")
+    marked = settle(inside.join(main, ["band", "key"]).join(settle(able), ["set_a", "set_b"]))
     # a similarity of percent / 100 takes percent / (100 + percent) of both sizes together as shared shingles
-    enough = F.least("x.shareable", "y.shareable") * (100 + percent) >= (F.col("x.n_shingles") + F.col("y.n_shingles")) * percent
+    enough = _most_shared("x", "y") * (100 + percent) >= (F.col("x.n_shingles") + F.col("y.n_shingles")) * percent
     # a pair that shares several bands is made in the first of them
     once = F.array_position(F.zip_with("x.bands", "y.bands", lambda p, q: p == q), True) == F.col("x.band") + 1
     others = marked.where("part <> main")
