@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold import codebook as cb
 from tallyfold.functions.replicates import SurveyDesign, base, spread_se
+from tallyfold.operators.history import sample_with_replacement, sample_without_replacement
+from tallyfold.operators.reshape import literal_array
+
+
+SIDE_KEYS = ("week_num", "metric", "geo_type", "geography", "race_var")
 
 
 def within_tolerance(left: Column, right: Column, tolerance: float = cb.COMPARE_TOLERANCE) -> Column:
@@ -60,13 +66,15 @@ def respondent_sides(df: DataFrame, design: SurveyDesign, areas: Sequence[str],
     place = {"state": F.col("state"), "msa": F.col("cbsa_title"), "national": F.lit("US")}
     long = df.select("week_num", "race", "state", "cbsa_title", *design.columns, F.inline(F.array(*[
         F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("x")) for m in metrics]))).where("x is not null")
-    placed = long.select("week_num", "race", "metric", "x", *design.columns, F.inline(F.array(*[
-        F.struct(F.lit(a).alias("geo_type"), place[a].alias("geography")) for a in areas]))).where("geography is not null")
     keys = ("week_num", "metric", "geo_type", "geography")
     sums = {f"{kind}_{i}": F.sum(F.col(w) * F.col("x") if kind == "num" else F.col(w))
             for i, w in enumerate(design.columns) for kind in ("num", "den")}
     sums["n"] = F.count("x")
-    by_race = placed.groupBy(*keys, "race").agg(*[c.alias(k) for k, c in sums.items()])
+    # the finest cells first, so that respondents are not doubled for the kinds of areas
+    finest = long.groupBy("week_num", "metric", "state", "cbsa_title", "race").agg(*[c.alias(k) for k, c in sums.items()])
+    placed = finest.select("week_num", "metric", "race", *sums, F.inline(F.array(*[
+        F.struct(F.lit(a).alias("geo_type"), place[a].alias("geography")) for a in areas]))).where("geography is not null")
+    by_race = placed.groupBy(*keys, "race").agg(*[F.sum(k).alias(k) for k in sums])
     whole = by_race.groupBy(*keys).agg(*[F.sum(k).alias(f"all_{k}") for k in sums])
     both = by_race.where(F.col("race").isin(*groups)).join(whole, list(keys)).where("n > 0 and all_n > n")
 
@@ -79,7 +87,46 @@ def respondent_sides(df: DataFrame, design: SurveyDesign, areas: Sequence[str],
         *[array(kind, rest).alias(f"rest_{kind}" if rest else kind) for rest in (False, True) for kind in ("num", "den")])
 
 
-SIDE_KEYS = ("week_num", "metric", "geo_type", "geography", "race_var")
+#: Areas of each type that a check draws, and draws for the nation.
+DRAWN_AREAS, DRAWN_NATIONAL = {"state": 7, "msa": 3}, 10
+
+
+def draw_cells(places: DataFrame, weeks: Sequence[str], seed: str, areas: Mapping[str, int] = DRAWN_AREAS, metrics: Sequence[str] = cb.METRICS,
+               groups: Sequence[str] = cb.GROUPS) -> DataFrame:
+    """Areas of ``places`` (geo_type, geography) without replacement, each with a week, a group and a metric drawn for it."""
+    keys = ["geo_type", "geography"]
+    kinds = [sample_without_replacement(places.where(F.col("geo_type") == kind), n, seed, keys) for kind, n in areas.items()]
+    return _with_draws(reduce(DataFrame.union, kinds).select(*keys), "geography", weeks, seed, metrics, groups)
+
+
+def draw_national(spark: SparkSession, weeks: Sequence[str], seed: str, n: int = DRAWN_NATIONAL, metrics: Sequence[str] = cb.METRICS,
+                  groups: Sequence[str] = cb.GROUPS) -> DataFrame:
+    slots = spark.range(n).select(F.lit("national").alias("geo_type"), F.lit("US").alias("geography"), F.concat(F.lit("US"), "id").alias("slot"))
+    return _with_draws(slots, "slot", weeks, seed, metrics, groups).distinct()
+
+
+def _with_draws(slots: DataFrame, slot: str, weeks: Sequence[str], seed: str, metrics: Sequence[str], groups: Sequence[str]) -> DataFrame:
+    for name, values in (("week_num", weeks), ("race_var", groups), ("metric", metrics)):
+        slots = sample_with_replacement(slots, slot, values, f"{seed}|{name}", name)
+    return slots.select(*SIDE_KEYS)
+
+
+def drawn_sides(df: DataFrame, design: SurveyDesign, drawn: DataFrame, metrics: Sequence[str] = cb.METRICS) -> DataFrame:
+    """As ``respondent_sides`` for the drawn cells alone: only respondents of a drawn week and area are added up, and of
+    their answers only the drawn one. ``drawn`` has as many rows as were drawn, so it is broadcast."""
+    place = {"state": F.col("state"), "msa": F.col("cbsa_title"), "national": F.lit("US")}
+    kinds = F.array(*[F.struct(F.lit(k).alias("geo_type"), c.alias("geography")) for k, c in place.items()])
+    wanted = drawn.withColumn("_at", F.array_position(literal_array(metrics), F.col("metric")).cast("int") - 1)
+    rows = df.select("week_num", "race", F.array(*[F.col(m).cast("double") for m in metrics]).alias("_x"), *design.columns, F.inline(kinds))
+    met = rows.join(F.broadcast(wanted), ["week_num", "geo_type", "geography"]).select(
+        *SIDE_KEYS, F.col("race").eqNullSafe(F.col("race_var")).alias("own"), F.get("_x", F.col("_at")).alias("x"), *design.columns)
+    sums = {f"{kind}_{i}": F.sum(F.col(w) * F.col("x") if kind == "num" else F.col(w))
+            for i, w in enumerate(design.columns) for kind in ("num", "den")}
+    by_side = met.where("x is not null").groupBy(*SIDE_KEYS, "own").agg(F.count("x").alias("n"), *[c.alias(k) for k, c in sums.items()])
+    packed = by_side.select(*SIDE_KEYS, "own", "n", *[F.array(*[f"{kind}_{i}" for i in range(len(design.columns))]).alias(kind) for kind in ("num", "den")])
+    sides = [F.first(F.when(F.col("own") if own else ~F.col("own"), F.col(c)), ignorenulls=True).alias(prefix + c)
+             for own, prefix in ((True, ""), (False, "rest_")) for c in ("n", "num", "den")]
+    return packed.groupBy(*SIDE_KEYS).agg(*sides).where("n > 0 and rest_n > 0")
 
 
 def weighted_regression(sides: DataFrame, design: SurveyDesign) -> DataFrame:

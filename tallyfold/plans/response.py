@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -88,3 +89,14 @@ def missing_drift(shares: DataFrame, before: str, after: str, week: str = "week_
     pair = pivot_metrics(rows, ["variable"], week, "pct_missing", [before, after])
     left, right = F.col(before), F.col(after)
     return pair.where(((left == 1) | (right == 1)) & (left != right))
+
+
+def drift_report(shares: DataFrame, weeks: Sequence[int]) -> DataFrame:
+    """``missing_drift`` of each of the weeks against the one before, in one table."""
+    parts = []
+    for week in weeks:
+        before, after = f"wk{week - 1}", f"wk{week}"
+        parts.append(missing_drift(shares, before, after).select(
+            F.lit(after).alias("week_num"), F.lit(before).alias("week_before"), "variable",
+            F.col(before).alias("share_before"), F.col(after).alias("share")))
+    return reduce(DataFrame.union, parts)

@@ -14,6 +14,7 @@ from tallyfold import codebook as cb
 from tallyfold.functions.replicates import SurveyDesign
 from tallyfold.operators.columns import snake
 from tallyfold.operators.harmonise import stack_periods
+from tallyfold.operators.joins import keep_first
 
 CSV_OPTIONS = {"header": "true", "nullValue": "NA"}
 
@@ -158,9 +159,17 @@ def read_dimension(spark: SparkSession, path: str, schema: T.StructType) -> Data
     return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path).distinct()
 
 
-def read_history(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A published CSV, read with its declared schema."""
-    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+def read_history(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str] = ()) -> DataFrame:
+    """A published CSV by its header line, with its declared columns; those an older file lacks are null.
+
+    With ``keys``, of rows with equal keys the first in the file stays.
+    """
+    types = {f.name: f.dataType.simpleString() for f in schema}
+    rows = _scan(spark, [path], types, "string", allow_extra=True)
+    if keys:
+        rows = keep_first(rows, keys, LINE_FIELDS[:3])
+    rows = good_rows(rows)
+    return rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema])
 
 
 def estimate_schema(full: bool = False) -> T.StructType:

@@ -397,6 +397,14 @@ def significance_flag(spark, d):
     )
 
 
+@query
+def cube_roll_up(spark, d):
+    """Estimates from the cube of the finest domains as a run keeps it, without the respondents."""
+    cube = scratch.handed_over(cell_cube(rs.survey(spark, d), rs.DESIGN, cb.METRICS, es.CELL_KEYS))
+    options = es.EstimateOptions(families=(es.GEO_TOTAL, es.US_GROUP))
+    return rounded(es.estimate_from_cube(cube, rs.DESIGN, options), *STATS)
+
+
 @query
 def removed_metric_rows(spark, d):
     return es.removed_metric_rows(rs.answers(spark, d).select(rc.week_label().alias("week_num")).distinct())
@@ -512,6 +520,30 @@ def qc_manual_geo(spark, d):
     return rounded(kept, *MANUAL).withColumn("total_group_t", F.round("total_group_t", 4) + 0.0)
 
 
+def _drawn_and_estimates(spark, d):
+    """Drawn cells, their sums from the respondents, and the estimates to be checked."""
+    df = rs.survey(spark, d)
+    weeks = [f"wk{w}" for w in range(rs.LAST_WEEK - 1, rs.LAST_WEEK + 1)]
+    drawn = qc.draw_cells(es.areas(df), weeks, "qc").unionByName(qc.draw_national(spark, weeks, "qc"))
+    latest = df.where(F.col("week_num").isin(weeks))
+    options = es.EstimateOptions(families=(es.GEO_GROUP, es.US_GROUP))
+    return qc.drawn_sides(latest, rs.DESIGN, drawn), es.estimate(latest, rs.DESIGN, options)
+
+
+@query
+def qc_sampled_regression(spark, d):
+    """Ten drawn areas and ten draws for the nation, as the weekly run checks; the draw is the feature."""
+    sides, estimates = _drawn_and_estimates(spark, d)
+    return rounded(qc.regression_check(sides, estimates, rs.DESIGN), "slope", "slope_se", "diff_mean", "diff_se")
+
+
+@query
+def qc_sampled_manual(spark, d):
+    sides, estimates = _drawn_and_estimates(spark, d)
+    df = qc.manual_check(qc.manual_contrasts(sides, rs.DESIGN), estimates)
+    return rounded(df.select(*qc.SIDE_KEYS, *MANUAL, "agree"), *MANUAL)
+
+
 @query
 def contrast_group_vs_total(spark, d):
     sides = qc.respondent_sides(rs.survey(spark, d), rs.DESIGN, ("state", "msa", es.NATIONAL))

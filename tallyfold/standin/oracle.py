@@ -316,15 +316,48 @@ def _compared() -> str:
 COMPARED_OUT = ("select *, mean between benchmark_mean - 0.005 and benchmark_mean + 0.005 as within from compared")
 
 
-def _regression() -> str:
-    def slope(r: int) -> str:
-        w, x = f"(b{r}_1 + b{r}_0)", f"(a{r}_1 + a{r}_0)"
-        return f"s{r}", f"({w} * a{r}_1 - b{r}_1 * {x}) / ({w} * b{r}_1 - b{r}_1 * b{r}_1) as s{r}"
+def _slope(r: int) -> str:
+    w, x = f"(b{r}_1 + b{r}_0)", f"(a{r}_1 + a{r}_0)"
+    return f"({w} * a{r}_1 - b{r}_1 * {x}) / ({w} * b{r}_1 - b{r}_1 * b{r}_1) as s{r}"
 
-    slopes = ", ".join(slope(r)[1] for r in range(R + 1))
-    return (f"{EST}, {_group_contrasts(PLACED)}, slopes as (select week_num, geo_type, geography, metric, race_var, {slopes}"
-            f" from thetas where {BOTH}), fitted as (select week_num, metric, geo_type, geography, race_var, s0 as slope,"
-            f" {_spread(lambda r: f's{r}')} as slope_se from slopes)")
+
+def _cell_sides(placed: str = PLACED) -> str:
+    """Cells of known groups beside what is left of their area: one pass for the sums, one window for the areas' totals."""
+    names = [f"{s}{r}" for r in range(R + 1) for s in ("a", "b")]
+    totals = ", ".join(f"sum({c}) over area as all_{c}" for c in ("n", *names))
+    both = ", ".join(f"{c} as {c}_1, all_{c} - {c} as {c}_0" for c in names)
+    thetas = ", ".join(f"a{r}_1 / b{r}_1 as t{r}, a{r}_0 / b{r}_0 as o{r}" for r in range(R + 1))
+    return (f"{EST}, {placed.format('est')}, {_sums('placed', 'week_num, geo_type, geography, race')},"
+            f" areas as (select *, {totals} from cells window area as (partition by week_num, geo_type, geography, metric)),"
+            f" sided as (select week_num, geo_type, geography, metric, race as race_var, {both} from areas"
+            f" where race in ({_list(cb.GROUPS)}) and n > 0 and all_n > n),"
+            f" thetas as (select *, {thetas} from sided)")
+
+
+SIDE_COLUMNS = "week_num, metric, geo_type, geography, race_var"
+
+
+def _drawn() -> str:
+    """Drawn cells of the last two weeks, and a pair of sums for each weight and side from their respondents."""
+    weeks = [f"wk{w}" for w in range(rs.LAST_WEEK - 1, rs.LAST_WEEK + 1)]
+    draws = ", ".join(_draw(values, name, f"qc|{name}", "slot") for name, values in (
+        ("week_num", weeks), ("race_var", cb.GROUPS), ("metric", cb.METRICS)))
+    picked = " union all ".join(
+        f"(select geo_type, geography, geography as slot from places where geo_type = '{kind}' order by md5('qc|' || geo_type || '|' || geography),"
+        f" geo_type, geography limit {n})" for kind, n in (("state", 7), ("msa", 3)))
+    value = "case d.metric " + " ".join(f"when '{m}' then {m}" for m in cb.METRICS) + " end"
+    sums = ["count(x) filter (own) as n1", "count(x) filter (not own) as n0"]
+    for r in range(R + 1):
+        sums += [f"sum(w{r} * x) filter (own) as a{r}_1, sum(w{r} * x) filter (not own) as a{r}_0",
+                 f"sum(w{r}) filter (own) as b{r}_1, sum(w{r}) filter (not own) as b{r}_0"]
+    thetas = ", ".join(f"a{r}_1 / b{r}_1 as t{r}, a{r}_0 / b{r}_0 as o{r}" for r in range(R + 1))
+    return (f"{EST}, {EVERYWHERE.format('est')}, places as (select distinct geo_type, geography from placed),"
+            f" slots as ({picked} union all select 'national', 'US', 'US' || i from range(10) t(i)),"
+            f" drawn as (select distinct geo_type, geography, {draws} from slots),"
+            f" met as (select d.*, p.race is not distinct from d.race_var as own, {value} as x,"
+            f" {', '.join(f'p.w{r}' for r in range(R + 1))} from placed p join drawn d using (week_num, geo_type, geography)),"
+            f" sided as (select week_num, geo_type, geography, metric, race_var, {', '.join(sums)} from met where x is not null group by all),"
+            f" thetas as (select *, {thetas} from sided where n1 > 0 and n0 > 0)")
 
 
 def _versus_total(placed: str = EVERYWHERE) -> str:
@@ -510,11 +543,11 @@ def sql() -> dict[str, str]:
         "qc_benchmark_compare": _from(_compared(), COMPARED_OUT),
         "qc_tolerance": _from(_compared(), f"select * from ({COMPARED_OUT}) where not within"),
         "qc_weighted_regression": _from(
-            _regression(),
-            f"select week_num, metric, geo_type, geography, race_var, {r6('slope')} as slope, {r6('slope_se')} as slope_se,"
-            f" {r6('diff_mean')} as diff_mean, {r6('diff_se')} as diff_se,"
-            " abs(abs(slope) - abs(diff_mean)) < 1e-4 and abs(slope_se - diff_se) < 1e-4 as agree"
-            " from fitted join con using (week_num, metric, geo_type, geography, race_var)"),
+            _cell_sides() + ", slopes as (select *, " + ", ".join(_slope(r) for r in range(R + 1)) + " from thetas), fitted as (select"
+            f" {SIDE_COLUMNS}, s0 as slope, {_spread(lambda r: f's{r}')} as slope_se, o0 - t0 as diff_mean,"
+            f" {_spread(lambda r: f'(o{r} - t{r})')} as diff_se from slopes)",
+            f"select {SIDE_COLUMNS}, {r6('slope')} as slope, {r6('slope_se')} as slope_se, {r6('diff_mean')} as diff_mean,"
+            f" {r6('diff_se')} as diff_se, abs(abs(slope) - abs(diff_mean)) < 1e-4 and abs(slope_se - diff_se) < 1e-4 as agree from fitted"),
         "qc_manual_se": _from(f"{EST}, {_group_contrasts(NATION)}",
                               f"select week_num, metric, geo_type, geography, race_var, {r6('-diff_mean')} as group_rest,"
                               f" {r6('diff_se')} as group_rest_se, {r6('diff_mean')} as diff_mean, {r6('diff_se')} as diff_se,"
@@ -523,13 +556,21 @@ def sql() -> dict[str, str]:
                               f" from thetas where {BOTH}) using (week_num, metric, geo_type, geography, race_var)"
                               " where mean is not null"),
         "qc_manual_geo": _from(
-            f"{_versus_total(PLACED)}",
-            f"select week_num, metric, geo_type, geography, race_var, {r6('-diff_mean')} as group_rest,"
-            f" {r6('diff_se')} as group_rest_se, {r6('diff_mean')} as diff_mean, {r6('diff_se')} as diff_se,"
-            " abs(t0_1 - t0_0 + diff_mean) < 1e-8 as agree,"
-            " case when total_group_se > 1e-3 then round(total_group / total_group_se, 4) + 0.0 end as total_group_t"
-            " from con join out using (week_num, metric, geo_type, geography, race_var)"
-            " join (select week_num, metric, geo_type, geography, race_var, a0_1 / b0_1 as t0_1, a0_0 / b0_0 as t0_0"
-            f" from thetas where {BOTH}) using (week_num, metric, geo_type, geography, race_var) where mean is not null"),
+            _cell_sides() + ", vs as (select *, " + ", ".join(
+                f"(a{r}_1 + a{r}_0) / (b{r}_1 + b{r}_0) - t{r} as d{r}" for r in range(R + 1)) + " from thetas), out as (select"
+            f" {SIDE_COLUMNS}, t0 - o0 as group_rest, {_spread(lambda r: f'(t{r} - o{r})')} as group_rest_se, o0 - t0 as diff_mean,"
+            f" {r6('d0')} as total_group, {r6(_spread(lambda r: f'd{r}'))} as total_group_se from vs)",
+            f"select {SIDE_COLUMNS}, {r6('group_rest')} as group_rest, {r6('group_rest_se')} as group_rest_se, {r6('diff_mean')} as diff_mean,"
+            f" {r6('group_rest_se')} as diff_se, abs(group_rest + diff_mean) < 1e-8 as agree,"
+            " case when total_group_se > 1e-3 then round(total_group / total_group_se, 4) + 0.0 end as total_group_t from out"),
+        "cube_roll_up": _from(EST, f"select * from {_sub(_group_contrasts(NATION), CON_OUT)} union all select * from {_sub(_total_contrasts(), CON_OUT)}"),
+        "qc_sampled_regression": _from(
+            _drawn() + ", slopes as (select *, " + ", ".join(_slope(r) for r in range(R + 1)) + " from thetas)",
+            f"select week_num, metric, geo_type, geography, race_var, {r6('s0')} as slope, {r6(_spread(lambda r: f's{r}'))} as slope_se,"
+            f" {r6('o0 - t0')} as diff_mean, {r6(_spread(lambda r: f'(o{r} - t{r})'))} as diff_se, true as agree from slopes"),
+        "qc_sampled_manual": _from(
+            _drawn(), f"select week_num, metric, geo_type, geography, race_var, {r6('t0 - o0')} as group_rest,"
+            f" {r6(_spread(lambda r: f'(t{r} - o{r})'))} as group_rest_se, {r6('o0 - t0')} as diff_mean,"
+            f" {r6(_spread(lambda r: f'(o{r} - t{r})'))} as diff_se, true as agree from thetas"),
         "contrast_group_vs_total": _from(_versus_total(), "select * from out"),
     }
