@@ -12,18 +12,22 @@ from pyspark.sql import SparkSession
 _shipped: set[str] = set()
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Send this package's source to the executors, once for each application: Python functions in a plan name it."""
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
+def package_archive(folder: str) -> str:
+    """A zip of this package's source in ``folder``."""
     root = Path(__file__).resolve().parent
-    folder = tempfile.mkdtemp(prefix="tallyfold-ship-")
     archive = os.path.join(folder, "tallyfold_source.zip")
     with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
         for file in sorted(root.rglob("*.py")):
             z.write(file, file.relative_to(root.parent))
-    context.addPyFile(archive)
+    return archive
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's source to the executors, once for each application: Python functions in a plan name it."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    context.addPyFile(package_archive(tempfile.mkdtemp(prefix="tallyfold-ship-")))
     _shipped.add(context.applicationId)
 
 

@@ -14,7 +14,7 @@ from tallyfold.operators import benchmark as bm
 from tallyfold.operators import history as hs
 from tallyfold.operators import joins as jn
 from tallyfold.operators import reshape as rh
-from tallyfold.operators.columns import across
+from tallyfold.operators.columns import across, snake
 from tallyfold.operators.contrast import STATS, domain_means, estimates_of, weighted_means
 from tallyfold.operators.cube import cell_cube
 from tallyfold.operators.harmonise import phases_of, stack_periods
@@ -201,9 +201,8 @@ def week_labels(spark, d):
 @query
 def one_hot(spark, d):
     df = rs.microdata(spark, d)
-    areas = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
-    flags = rc.one_hot("cbsa_title", areas)
-    return df.select("scram", "cbsa_title", *[c.alias(n.lower().replace(" ", "_")) for n, c in flags.items()])
+    flags = rc.one_hot("cbsa_title", rs.REGION_METROS)
+    return df.select("scram", "cbsa_title", *[c.alias(snake(n)) for n, c in flags.items()])
 
 
 @query
@@ -273,6 +272,12 @@ def missing_drift(spark, d):
     return rp.missing_drift(_shares(spark, d), "wk33", "wk34")
 
 
+@query
+def drift_report(spark, d):
+    """What the layouts of weeks 43 and 46 changed."""
+    return rounded(rp.drift_report(_shares(spark, d), (43, 46)), "share_before", "share")
+
+
 # history -------------------------------------------------------------------
 
 def _weekly(spark, d):

@@ -8,6 +8,7 @@ a group is summed from its members, nothing is subtracted.
 from __future__ import annotations
 
 from tallyfold import codebook as cb
+from tallyfold.operators.columns import snake
 from tallyfold.sources.sheets import TABLE_TITLE_LINES
 from tallyfold.standin import respondents as rs
 from tallyfold.standin import tables as tb
@@ -84,7 +85,7 @@ ind as (select *,
        when anxiety_signs is null and depression_signs is null then null else 0.0 end as depression_anxiety_signs
   from ind1)"""
 IND = f"{_resp()}, {RECODES}"
-EST = f"""{IND}, named as (select ind.*, n_name as state, r_name as cbsa_title from ind
+EST = f"""{IND}, named as (select ind.*, n_name as state, {rs.METRO_SQL} as cbsa_title from ind
     left join nation on est_st = lpad(cast(n_nationkey as varchar), 2, '0')
     left join region on est_msa = cast(10000 + r_regionkey as varchar)),
 est as (select * replace (case when tbirth_year < 1956 then null else uninsured end as uninsured,
@@ -263,11 +264,13 @@ def _lines() -> str:
             + f" from summed where hisp_rrace is not null and week between {first} and {last}"
         )
     geo_type, week, geography, shift = tb.SHIFTED
+    names = "geography " + " ".join(f"when '{title}' then '{name}'" for title, _, name in cb.METROS)
     return (f"{EST}, {EVERYWHERE.format('est')}, summed as (select week, geo_type, geography, hisp_rrace, {cells}"
             f" from placed group by week, geo_type, geography, hisp_rrace),"
             f" unshifted as ({' union all '.join(parts)}),"
             f" lines as (select * replace (case when table_name like 'food%' and geo_type = '{geo_type}' and week = {week}"
-            f" and geography = '{geography}' then c4 + {shift} * c1 else c4 end as c4) from unshifted)")
+            f" and geography = '{geography}' then c4 + {shift} * c1 else c4 end as c4,"
+            f" case {names} else geography end as geography) from unshifted)")
 
 
 def _ratio_rows() -> str:
@@ -281,7 +284,8 @@ def _ratio_rows() -> str:
         *[(t, "true", "food_answered", "c1 - c6", "c1") for t in ("food2b", "food2", "food1")],
         ("housing2a", "true", "mortgage_not_conf", "c3 + c4 + c7", "c1 - c2 - c8"),
         ("housing2b", "true", "rent_not_conf", "c3 + c4 + c7", "c1 - c2 - c8"),
-        ("housing1b", "true", "rent_caughtup", "c3", "c1 - c2 - c5"),
+        ("housing1b", "week < 40", "rent_caughtup", "c3", "c1 - c2 - c5"),
+        ("housing1b", "week >= 40", "rent_caughtup", "c2", "c1 - c5 - c4"),
         ("health2a", "true", "anxiety_signs", "c2 + c3 + c4", "c1 + c2 + c3 + c4"),
         ("health2b", "true", "depression_signs", "c7 + c8 + c9", "c6 + c7 + c8 + c9"),
         ("health3", "true", "insured_public", "c3", "c1"),
@@ -291,8 +295,9 @@ def _ratio_rows() -> str:
     ]
     race = " ".join(f"when '{label}' then '{g}'" for label, g in (
         (cb.HISPANIC_LABEL, "hispanic"), *zip(cb.RACE_LABELS.values(), ("white", "black", "asian", "other"))))
+    titles = " ".join(f"when '{name}' then '{title}'" for title, _, name in cb.METROS)
     return "ratios as (" + " union all ".join(
-        f"select table_name, 'wk' || week as week_num, geography, case variable {race} end as race_var,"
+        f"select table_name, 'wk' || week as week_num, case geography {titles} else geography end as geography, case variable {race} end as race_var,"
         f" '{metric}' as metric, {top} as numerator, {bottom} as denominator"
         f" from lines where table_name = '{table}' and {when}"
         for table, when, metric, top, bottom in rows
@@ -395,7 +400,7 @@ def sql() -> dict[str, str]:
         "join_state_dim": _from(_resp(), "select scram, week, est_st, n_name as state,"
                                 " replace(upper(n_name[1]) || lower(n_name[2:]), '_', ' ') as state_name"
                                 " from resp left join nation on est_st = lpad(cast(n_nationkey as varchar), 2, '0')"),
-        "join_msa_dim": _from(_resp(), "select scram, week, est_msa, r_name || ' area' as csa_title, r_name as cbsa_title"
+        "join_msa_dim": _from(_resp(), f"select scram, week, est_msa, r_name || ' area' as csa_title, {rs.METRO_SQL} as cbsa_title"
                               " from resp left join region on est_msa = cast(10000 + r_regionkey as varchar)"),
         "join_replicate_weights": _from(_resp(), f"select scram, week, wrkloss, pweight, {weights} from resp"),
         "join_week_dates": _from(f"{_resp()}, {DATES}", "select scram, 'wk' || week as week_num, date_int"
@@ -428,8 +433,8 @@ def sql() -> dict[str, str]:
                              " case when week < 22 then 2020 when week < 41 then 2021 else 2022 end as file_year,"
                              " case when week <= 21 then 2020 when week <= 41 then 2021 else 2022 end as table_year from resp"),
         "one_hot": _from(EST, "select scram, cbsa_title, " + cols(
-            f"case when cbsa_title is not null then (cbsa_title = '{a}')::int end as cbsa_title_{a.lower().replace(' ', '_')}"
-            for a in ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")) + " from est"),
+            f"case when cbsa_title is not null then (cbsa_title = '{a}')::int end as cbsa_title_{snake(a)}"
+            for a in rs.REGION_METROS) + " from est"),
         "stack_geographies": _from(f"{EST}, {PLACED.format('est')}",
                                    "select scram, week_num, geo_type, geography from placed"),
         "unpivot_metrics": _from(IND, " union all ".join(
@@ -469,6 +474,11 @@ def sql() -> dict[str, str]:
                                f" l as (unpivot s on {cols(NUMERIC)} into name variable value pct)",
                                "select a.variable, a.pct as wk33, b.pct as wk34 from l a join l b on a.variable = b.variable"
                                " where a.week = 33 and b.week = 34 and (a.pct = 1 or b.pct = 1) and a.pct <> b.pct"),
+        "drift_report": _from(f"{_resp()}, s as (select week, {_missing(NUMERIC)} from resp group by week),"
+                              f" l as (unpivot s on {cols(NUMERIC)} into name variable value pct)",
+                              f"select 'wk' || b.week as week_num, 'wk' || a.week as week_before, a.variable, {r6('a.pct')} as share_before,"
+                              f" {r6('b.pct')} as share from l a join l b on a.variable = b.variable and a.week = b.week - 1"
+                              " where b.week in (43, 46) and (a.pct = 1 or b.pct = 1) and a.pct <> b.pct"),
         "union_fill": _from(WEEKLY, "select week_num, hisp_rrace, metric, case when week >= 28 then n end as n, mean from weekly"),
         "append_idempotent": _from(WEEKLY, "select week_num, hisp_rrace, metric, n, case when week >= (select max(week) - 1"
                                    " from weekly) then mean else -1.0 end as mean from weekly"),
@@ -525,7 +535,7 @@ def sql() -> dict[str, str]:
             " select geography, metric, week_num, race_var, null, 0.0, 0.0, null, null, geo_type, null, date_int, 1.0"
             " from dated where metric = 'inc_loss'"),
         "expected_grid_count": _from(
-            f"{EST}, {PLACED.format('est')}, p as (select n_name as place from nation union all select r_name from region),"
+            f"{EST}, {PLACED.format('est')}, p as (select n_name as place from nation union all select {rs.METRO_SQL} from region),"
             " hits as (select distinct geo_type, geography from placed where geography is not null)",
             f"select (select count(*) from p) * {21 * 6 * (rs.LAST_WEEK - rs.FIRST_WEEK + 1)}::bigint as n_found,"
             f" (select count(*) from p) * {21 * 6 * (rs.LAST_WEEK - rs.FIRST_WEEK + 1)}::bigint as n_expected,"

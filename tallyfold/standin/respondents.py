@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyfold import codebook as cb
 from tallyfold.functions.replicates import SurveyDesign
 from tallyfold.operators.joins import join_dimension
 from tallyfold.plans.clean import add_indicators, split_income_question
@@ -17,9 +18,13 @@ from tallyfold.plans.estimates import estimation_input
 
 N_REPLICATES = 80
 DESIGN = SurveyDesign.of(N_REPLICATES)
-FIRST_WEEK, LAST_WEEK = 13, 39
+FIRST_WEEK, LAST_WEEK = 13, 47
 
-WEEK = "13 + (year(o_orderdate) - 1995) * 4 + quarter(o_orderdate) - 1"
+# the 80 months of the orders as 35 weeks, which cross all questionnaire layouts
+WEEK = "13 + cast(floor(((year(o_orderdate) - 1995) * 12 + month(o_orderdate) - 1) * 35 / 80) as int)"
+# the regions as metro areas
+REGION_METROS = tuple(m[0] for m in cb.METROS[:5])
+METRO_SQL = "case r_regionkey " + " ".join(f"when {i} then '{title}'" for i, title in enumerate(REGION_METROS)) + " end"
 
 # column -> (question number, number of answers, first and last week asked)
 QUESTIONS = {
@@ -141,7 +146,7 @@ def metros(spark: SparkSession, sf_dir: str) -> DataFrame:
     return regions.select(
         (F.col("r_regionkey") + 10000).cast("string").alias("cbsa_code"),
         F.concat("r_name", F.lit(" area")).alias("csa_title"),
-        F.col("r_name").alias("cbsa_title"),
+        F.expr(METRO_SQL).alias("cbsa_title"),
     )
 
 

@@ -16,7 +16,7 @@ from tallyfold.operators.reshape import stack_geographies
 from tallyfold.sources.sheets import TABLE_TITLE_LINES
 from tallyfold.standin import respondents as rs
 
-SHIFTED = ("msa", 20, "ASIA", 0.01)
+SHIFTED = ("msa", 20, rs.REGION_METROS[2], 0.01)
 HEADER = "Hispanic origin and Race"
 GROUP_LABELS = (cb.HISPANIC_LABEL, *cb.RACE_LABELS.values())
 
@@ -141,10 +141,13 @@ def benchmark_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     geo_type, week, geography, shift = SHIFTED
     moved = (F.col("table_name").startswith("food") & (F.col("geo_type") == geo_type) & (F.col("week") == week)
              & (F.col("geography") == geography) & (F.col("line_no") > 2))
+    # metro areas under the names the tables have for them
+    names = F.create_map(*[F.lit(x) for title, _, name in cb.METROS for x in (title, name)])
     return lines.withColumn(
         "c4", F.when(moved, (F.col("c4").cast("double") + shift * F.col("c1").cast("double")).cast("string"))
         .otherwise(F.col("c4"))
-    ).select("table_name", "week", "geography", "line_no", "n_cols", "variable", *values)
+    ).withColumn("geography", F.coalesce(F.try_element_at(names, "geography"), "geography")).select(
+        "table_name", "week", "geography", "line_no", "n_cols", "variable", *values)
 
 
 def land_sheets(lines: DataFrame, folder: str) -> None:
