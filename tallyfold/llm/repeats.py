@@ -312,13 +312,14 @@ def resolve(blobs: list[tuple[bytes, bytes | None]]) -> Iterator[pd.DataFrame]:
     np.minimum.at(low, inverse, least)
     np.maximum.at(high, inverse, least)
     mixed = np.flatnonzero((low < high)[inverse])
-    if len(mixed):
-        mixed = mixed[_candidates([pieces[p] for p in mixed], seeds[mixed].astype(np.uint64), least[mixed])]
     first_piece, docs, prints, at = piece[~later], docs[~later], prints[~later], at[~later]
     order = np.argsort(first_piece, kind="stable")
     first_piece = first_piece[order]
     for some in _collections(seeds[mixed], sizes[mixed]):
         own = mixed[some]
+        own = own[_candidates([pieces[p] for p in own], seeds[own].astype(np.uint64), least[own])]
+        if not len(own):
+            continue
         string, begin, until = _window_ranges([pieces[p] for p in own], least[own])
         a, b = np.searchsorted(first_piece, own[string]), np.searchsorted(first_piece, own[string], "right")
         times = b - a
