@@ -152,27 +152,34 @@ class TextEncoder:
         """Capitals and stops of ASCII words are taken off first: the tokenizer lowers all letters and cuts between a
         letter and a stop, so what is left is known more often."""
         new = [w for w in words if w not in self.index]
-        composed, simple = [], []
-        for w in new:
-            if w.isascii() and b"<|" not in w:
-                head = w.rstrip(STOPS)
-                if head and len(head) < len(w) and head[-1:].isalnum():
-                    composed.append((w, head.lower(), w[len(head) :]))
-                    continue
-                if (low := w.lower()) != w:
-                    composed.append((w, low, b""))
-                    continue
-            simple.append(w)
-        parts = {p for _, a, b in composed for p in (a, b) if p}
-        self._tokenize(sorted({w for w in (*simple, *parts) if w not in self.index}))
+        # no word has a line feed, so all are lowered at once
+        lows = b"\n".join(new).lower().split(b"\n")
+        heads = [low.rstrip(STOPS) for low in lows]
+        simple, composed, firsts, seconds = [], [], [], []
+        for w, low, head in zip(new, lows, heads):
+            if w == head or not w.isascii() or b"<|" in w:
+                simple.append(w)
+            elif low != head and head and head[-1:].isalnum():
+                composed.append(w)
+                firsts.append(head)
+                seconds.append(low[len(head) :])
+            elif low != w:
+                composed.append(w)
+                firsts.append(low)
+                seconds.append(b"")
+            else:
+                simple.append(w)
+        parts = dict.fromkeys([*simple, *firsts, *seconds])
+        parts.pop(b"", None)
+        self._tokenize([w for w in parts if w not in self.index])
         if composed:
-            pieces = [[self.index[p] for p in (a, b) if p] for _, a, b in composed]
-            flat = np.array([i for p in pieces for i in p])
-            counts = self.size[flat]
+            # both parts of every word, the second of which may be empty
+            flat = [self.index.get(p, -1) for pair in zip(firsts, seconds) for p in pair]
+            flat = np.array(flat, np.int64)
+            counts = np.where(flat < 0, 0, self.size[flat])
             ends = np.cumsum(counts)
             ids = self.ids[np.repeat(self.begin[flat] - ends + counts, counts) + np.arange(int(counts.sum()))]
-            firsts = np.cumsum([0, *map(len, pieces)])[:-1]
-            self._add([w for w, _, _ in composed], ids, np.add.reduceat(counts, firsts))
+            self._add(composed, ids, counts.reshape(-1, 2).sum(axis=1))
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         if self.n > REMEMBERED_WORDS:
