@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyfold import codebook as cb
@@ -20,32 +20,28 @@ def race_rows(lines: DataFrame) -> DataFrame:
     return hits.select("*", F.row_number().over(sheet).alias("_line")).where("_line > 1").drop("_line")
 
 
-def _ratios(layout: dict) -> Column:
+def _ratios(layout: dict) -> str:
+    """The layout's shares as SQL text, its columns' names replaced by their positions."""
     position = {name: f"c{i}" for i, name in enumerate(layout["columns"], start=1)}
 
-    def formula(text: str) -> Column:
-        return F.expr(re.sub(r"[a-z]\w*", lambda m: position[m.group()], text))
+    def formula(text: str) -> str:
+        return "cast(" + re.sub(r"[a-z]\w*", lambda m: position[m.group()], text) + " as double)"
 
-    return F.array(
-        *[
-            F.struct(F.lit(metric).alias("metric"), formula(top).alias("numerator"), formula(bottom).alias("denominator"))
-            for metric, top, bottom in layout["ratios"]
-        ]
-    )
+    rows = [f"named_struct('metric', '{metric}', 'numerator', {formula(top)}, 'denominator', {formula(bottom)})"
+            for metric, top, bottom in layout["ratios"]]
+    return f"array({', '.join(rows)})"
 
 
-def _applies(layout: dict) -> Column:
+def _applies(layout: dict) -> str:
     first, last = layout["weeks"]
-    hit = (F.col("table_name") == layout["table"]) & F.col("week").between(first, last)
-    return hit if layout["n_cols"] is None else hit & (F.col("n_cols") == layout["n_cols"])
+    hit = f"table_name = '{layout['table']}' and week between {first} and {last}"
+    return hit if layout["n_cols"] is None else f"{hit} and n_cols = {layout['n_cols']}"
 
 
 def unknown_lines(lines: DataFrame) -> DataFrame:
     """Race lines whose table, week and width fit no layout."""
-    known = F.lit(False)
-    for layout in cb.BENCHMARK_LAYOUTS:
-        known = known | F.coalesce(_applies(layout), F.lit(False))
-    return race_rows(lines).where(~known)
+    known = " or ".join(f"coalesce({_applies(layout)}, false)" for layout in cb.BENCHMARK_LAYOUTS)
+    return race_rows(lines).where(f"not ({known})")
 
 
 def benchmark_ratios(lines: DataFrame, metro_names: DataFrame) -> DataFrame:
@@ -55,12 +51,9 @@ def benchmark_ratios(lines: DataFrame, metro_names: DataFrame) -> DataFrame:
     no layout ends the job; ``unknown_lines`` lists such lines.
     """
     rows = race_rows(lines).withColumns(text_to_double(VALUES, fill=0.0))
-    ratios = None
-    for layout in cb.BENCHMARK_LAYOUTS:
-        ratios = (F if ratios is None else ratios).when(_applies(layout), _ratios(layout))
-    unknown = F.concat_ws(" ", F.lit("no layout is known for table"), "table_name", F.lit("of week"), F.col("week").cast("string"),
-                          F.lit("with columns:"), F.col("n_cols").cast("string"))
-    ratios = ratios.otherwise(F.raise_error(unknown))
+    cases = " ".join(f"when {_applies(layout)} then {_ratios(layout)}" for layout in cb.BENCHMARK_LAYOUTS)
+    unknown = "concat_ws(' ', 'no layout is known for table', table_name, 'of week', cast(week as string), 'with columns:', cast(n_cols as string))"
+    ratios = F.expr(f"case {cases} else raise_error({unknown}) end")
     label = F.col("variable")
     race = F.when(label == cb.HISPANIC_LABEL, "hispanic")
     for text, group in zip(cb.RACE_LABELS.values(), ("white", "black", "asian", "other")):

@@ -16,7 +16,7 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,21 +32,26 @@ def flat_names(width: int, prefix: str = "") -> list[str]:
     return [f"{prefix}{side}_{i}" for side in ("num", "den") for i in range(width)]
 
 
+def _array(names: Iterable[str]) -> str:
+    return f"array({', '.join(names)})"
+
+
 def packed(df: DataFrame, width: int, prefixes: Sequence[str] = ("",)) -> DataFrame:
     """Flat sums as the arrays num and den, for each prefix."""
     gone = {n for p in prefixes for n in flat_names(width, p)}
-    arrays = [F.array(*[F.col(f"{p}{side}_{i}") for i in range(width)]).alias(p + side) for p in prefixes for side in ("num", "den")]
-    return df.select(*[c for c in df.columns if c not in gone], *arrays)
+    arrays = [f"{_array(f'{p}{side}_{i}' for i in range(width))} as {p}{side}" for p in prefixes for side in ("num", "den")]
+    return df.selectExpr(*[f"`{c}`" for c in df.columns if c not in gone], *arrays)
 
 
 def flattened(df: DataFrame, width: int) -> DataFrame:
     """Arrays num and den as flat sums."""
-    flat = [F.get(side, F.lit(i)).alias(f"{side}_{i}") for side in ("num", "den") for i in range(width)]
-    return df.select(*[c for c in df.columns if c not in ("num", "den")], *flat)
+    flat = [f"get({side}, {i}) as {side}_{i}" for side in ("num", "den") for i in range(width)]
+    return df.selectExpr(*[f"`{c}`" for c in df.columns if c not in ("num", "den")], *flat)
 
 
 def _added_up(width: int) -> list[Column]:
-    return [F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), *[F.sum(c).alias(c) for c in flat_names(width)]]
+    """The sums as SQL text: hundreds of columns are named by one call each."""
+    return [F.expr(text) for text in ("sum(n) as n", "min(lo) as lo", "max(hi) as hi", *[f"sum({c}) as {c}" for c in flat_names(width)])]
 
 
 def runs(batch: pa.RecordBatch, keys: Sequence[str]) -> list[tuple[int, int, tuple]]:
@@ -163,7 +168,7 @@ def grouped_sums(df: DataFrame, design: SurveyDesign, metrics: Sequence[str], ke
     sets = [list(keys)] if sets is None else [list(s) for s in sets]
     width = len(design.columns)
     names, schema = _partial_schema([df.schema[k] for k in keys], width)
-    rows = df.select(*keys, F.array(*design.columns).alias("w"), F.array(*metrics).alias("x"))
+    rows = df.selectExpr(*[f"`{k}`" for k in keys], f"{_array(design.columns)} as w", f"{_array(metrics)} as x")
     if keys:
         rows = rows.sortWithinPartitions(*keys)
     partial = rows.mapInArrow(_sum_respondents(list(keys), list(metrics), width, sets, schema, max_held), names)
@@ -186,7 +191,7 @@ def roll_up(cube: DataFrame, design: SurveyDesign, keys: Sequence[str], sets: Se
         # a bit for each key that the set leaves out, the last one for the metric
         gaps = sum(1 << (len(keys) - at) for at, k in enumerate(keys) if k not in names)
         number = (F if number is None else number).when(F.col("_gaps") == gaps, i)
-    return summed.select(number.alias("set_id"), *keys, "metric", "n", "lo", "hi", *flat_names(width))
+    return summed.withColumn("set_id", number).selectExpr("set_id", *[f"`{k}`" for k in keys], "metric", "n", "lo", "hi", *flat_names(width))
 
 
 def with_rest(domains: DataFrame, design: SurveyDesign, within: Sequence[str], item: str) -> DataFrame:
@@ -197,20 +202,18 @@ def with_rest(domains: DataFrame, design: SurveyDesign, within: Sequence[str], i
     window has one row per population group or geography.
     """
     width = len(design.columns)
-    spec = Window.partitionBy(*within, "metric")
-    frames = [spec.orderBy(order(item)).rowsBetween(Window.unboundedPreceding, -1) for order in (F.asc, F.desc)]
-    totals = ["n", *flat_names(width)]
-    sides = domains.select("*", *[F.sum(c).over(frame).alias(f"_{i}_{c}") for i, frame in enumerate(frames) for c in totals],
-                           *[how(c).over(frame).alias(f"_{i}_{c}") for i, frame in enumerate(frames) for how, c in ((F.min, "lo"), (F.max, "hi"))])
-
-    def both(name: str) -> Column:
-        before, after = F.col(f"_0_{name}"), F.col(f"_1_{name}")
-        if name in ("lo", "hi"):
-            return (F.least if name == "lo" else F.greatest)(before, after)
-        return F.coalesce(before, F.lit(0)) + F.coalesce(after, F.lit(0))
-
-    kept = [c for c in domains.columns if c not in flat_names(width)]
-    return sides.select(
-        *kept, *[both(c).alias(f"rest_{c}") for c in ("n", "lo", "hi")],
-        *[F.array(*[value(f"{side}_{i}") for i in range(width)]).alias(prefix + side)
-          for prefix, value in (("", F.col), ("rest_", both)) for side in ("num", "den")])
+    names, flat = ["n", "lo", "hi"], flat_names(width)
+    how = {"lo": ("min", "least"), "hi": ("max", "greatest")}
+    keys = ", ".join(f"`{c}`" for c in (*within, "metric"))
+    frames = [f"over (partition by {keys} order by `{item}` {order} rows between unbounded preceding and 1 preceding)" for order in ("asc", "desc")]
+    sides = domains.selectExpr("*", *[f"{how.get(c, ('sum',))[0]}({c}) {frame} as _{i}_{c}" for i, frame in enumerate(frames) for c in (*names, *flat)])
+
+    def both(name: str) -> str:
+        before, after = f"_0_{name}", f"_1_{name}"
+        return f"{how[name][1]}({before}, {after})" if name in how else f"coalesce({before}, 0) + coalesce({after}, 0)"
+
+    gone = set(flat)
+    return sides.selectExpr(
+        *[f"`{c}`" for c in domains.columns if c not in gone], *[f"{both(c)} as rest_{c}" for c in names],
+        *[f"{_array(value(f'{side}_{i}') for i in range(width))} as {prefix}{side}"
+          for prefix, value in (("", str), ("rest_", both)) for side in ("num", "den")])

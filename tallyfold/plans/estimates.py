@@ -86,18 +86,10 @@ def _named_domains(sums: DataFrame, design: SurveyDesign, options: EstimateOptio
         return F.get(F.array(*[F.lit(v) for v in values]), F.col("set_id"))
 
     geo_type, kind = by_set([s[0] for s in sets]), by_set([s[1] for s in sets])
-    named = sums.select(
-        "week_num",
-        "metric",
-        geo_type.alias("geo_type"),
-        F.when(geo_type == NATIONAL, NATION)
-        .when(geo_type == "state", F.col("state"))
-        .otherwise(F.col("cbsa_title"))
-        .alias("geography"),
-        kind.alias("kind"),
-        F.when(kind == "total", cb.TOTAL).otherwise(F.col("race")).alias("race_var"),
-        "n", "lo", "hi", *flat_names(len(design.columns)),
-    )
+    place = F.when(geo_type == NATIONAL, NATION).when(geo_type == "state", F.col("state")).otherwise(F.col("cbsa_title"))
+    group = F.when(kind == "total", cb.TOTAL).otherwise(F.col("race"))
+    named = sums.withColumns({"geo_type": geo_type, "geography": place, "kind": kind, "race_var": group}).selectExpr(
+        "week_num", "metric", "geo_type", "geography", "kind", "race_var", "n", "lo", "hi", *flat_names(len(design.columns)))
     keep_unknown = F.lit(options.null_geo_in_rest)
     return named.where(F.col("geography").isNotNull() | ((F.col("kind") == "total") & keep_unknown))
 

@@ -63,28 +63,23 @@ def respondent_sides(df: DataFrame, design: SurveyDesign, areas: Sequence[str],
     and every weight is a sum of its own; the rest is what the whole has beside the group. The number of sums is above
     Spark's default for generated code, which ``session.build_session`` raises.
     """
-    place = {"state": F.col("state"), "msa": F.col("cbsa_title"), "national": F.lit("US")}
-    long = df.select("week_num", "race", "state", "cbsa_title", *design.columns, F.inline(F.array(*[
-        F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("x")) for m in metrics]))).where("x is not null")
+    place = {"state": "state", "msa": "cbsa_title", "national": "'US'"}
     keys = ("week_num", "metric", "geo_type", "geography")
-    sums = {f"{kind}_{i}": F.sum(F.col(w) * F.col("x") if kind == "num" else F.col(w))
-            for i, w in enumerate(design.columns) for kind in ("num", "den")}
-    sums["n"] = F.count("x")
+    each = [(i, w) for i, w in enumerate(design.columns)]
+    names = [f"{kind}_{i}" for i, _ in each for kind in ("num", "den")]
+    answers = ", ".join(f"named_struct('metric', '{m}', 'x', cast({m} as double))" for m in metrics)
+    long = df.selectExpr("week_num", "race", "state", "cbsa_title", *design.columns, f"inline(array({answers}))").where("x is not null")
     # the finest cells first, so that respondents are not doubled for the kinds of areas
-    finest = long.groupBy("week_num", "metric", "state", "cbsa_title", "race").agg(*[c.alias(k) for k, c in sums.items()])
-    placed = finest.select("week_num", "metric", "race", *sums, F.inline(F.array(*[
-        F.struct(F.lit(a).alias("geo_type"), place[a].alias("geography")) for a in areas]))).where("geography is not null")
-    by_race = placed.groupBy(*keys, "race").agg(*[F.sum(k).alias(k) for k in sums])
-    whole = by_race.groupBy(*keys).agg(*[F.sum(k).alias(f"all_{k}") for k in sums])
+    finest = long.groupBy("week_num", "metric", "state", "cbsa_title", "race").agg(
+        F.expr("count(x) as n"), *[F.expr(text) for i, w in each for text in (f"sum({w} * x) as num_{i}", f"sum({w}) as den_{i}")])
+    kinds = ", ".join(f"named_struct('geo_type', '{a}', 'geography', {place[a]})" for a in areas)
+    placed = finest.selectExpr("week_num", "metric", "race", "n", *names, f"inline(array({kinds}))").where("geography is not null")
+    by_race = placed.groupBy(*keys, "race").agg(*[F.expr(f"sum({k}) as {k}") for k in ("n", *names)])
+    whole = by_race.groupBy(*keys).agg(*[F.expr(f"sum({k}) as all_{k}") for k in ("n", *names)])
     both = by_race.where(F.col("race").isin(*groups)).join(whole, list(keys)).where("n > 0 and all_n > n")
-
-    def array(kind: str, rest: bool) -> Column:
-        own = [F.col(f"{kind}_{i}") for i in range(len(design.columns))]
-        return F.array(*[F.col(f"all_{kind}_{i}") - c if rest else c for i, c in enumerate(own)])
-
-    return both.select(
-        *keys, F.col("race").alias("race_var"), "n", (F.col("all_n") - F.col("n")).alias("rest_n"),
-        *[array(kind, rest).alias(f"rest_{kind}" if rest else kind) for rest in (False, True) for kind in ("num", "den")])
+    arrays = [f"array({', '.join(f'all_{kind}_{i} - {kind}_{i}' if left else f'{kind}_{i}' for i, _ in each)}) as {prefix}{kind}"
+              for left, prefix in ((False, ""), (True, "rest_")) for kind in ("num", "den")]
+    return both.selectExpr(*keys, "race as race_var", "n", "all_n - n as rest_n", *arrays)
 
 
 #: Areas of each type that a check draws, and draws for the nation.

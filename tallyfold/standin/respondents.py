@@ -102,8 +102,8 @@ def _source(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _columns(items: dict[str, str]) -> list:
-    return [F.expr(sql).alias(name) for name, sql in items.items()]
+def _columns(items: dict[str, str]) -> list[str]:
+    return [f"{sql} as {name}" for name, sql in items.items()]
 
 
 def answers(spark: SparkSession, sf_dir: str, weights: bool = False) -> DataFrame:
@@ -111,7 +111,7 @@ def answers(spark: SparkSession, sf_dir: str, weights: bool = False) -> DataFram
     items = {**BASE, **{c: answer(c) for c in QUESTIONS}}
     if weights:
         items |= {name: weight_sql(r) for r, name in enumerate(DESIGN.replicates, start=1)}
-    return _source(spark, sf_dir).select(*_columns(items))
+    return _source(spark, sf_dir).selectExpr(*_columns(items))
 
 
 def raw_layout(spark: SparkSession, sf_dir: str, phase: dict, weeks: list[int]) -> DataFrame:
@@ -121,7 +121,7 @@ def raw_layout(spark: SparkSession, sf_dir: str, phase: dict, weeks: list[int])
     source = _source(spark, sf_dir).where(F.expr(WEEK).between(min(weeks), max(weeks)))
     base = {k: v for k, v in BASE.items() if k != "pweight"}
     named = {raw_name.get(c, c): sql for c, sql in asked.items()}
-    return source.select(*[c.alias(n.upper()) for c, n in zip(_columns({**base, **named}), [*base, *named])])
+    return source.selectExpr(*_columns({n.upper(): sql for n, sql in {**base, **named}.items()}))
 
 
 def weight_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,7 +129,7 @@ def weight_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     items = {"week": BASE["week"], "scram": BASE["scram"], "pweight": BASE["pweight"]}
     items |= {name: weight_sql(r) for r, name in enumerate(DESIGN.replicates, start=1)}
-    return orders.select(*_columns(items))
+    return orders.selectExpr(*_columns(items))
 
 
 def states(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -112,32 +112,26 @@ def benchmark_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.expr(f"sum({sql}) as {name}") for name, sql in cells.items()]
     )
     # a sheet per week and area, with a title and a header line above its groups
-    order = F.array_position(F.array(*[F.lit(t) for t in GROUP_LABELS]), F.col("hisp_rrace")).cast("int")
-    line = F.struct((order + 2).alias("line_no"), F.col("hisp_rrace").alias("variable"), *cells)
+    labels = ", ".join(f"'{t}'" for t in GROUP_LABELS)
+    line = f"named_struct('line_no', cast(array_position(array({labels}), hisp_rrace) as int) + 2, 'variable', hisp_rrace, " + ", ".join(
+        f"'{c}', {c}" for c in cells) + ")"
     sheets = summed.groupBy("week", "geo_type", "geography").agg(
-        F.collect_list(F.when(F.col("hisp_rrace").isNotNull(), line)).alias("groups")
-    )
-    blank = [F.lit(None).cast("double").alias(c) for c in cells]
-    heads = F.array(
-        *[F.struct(F.lit(n).alias("line_no"), F.lit(text).alias("variable"), *blank)
-          for n, text in ((1, "Total"), (2, HEADER))]
-    )
-    written = sheets.where(F.size("groups") > 0).select(
-        "week", "geo_type", "geography", F.inline(F.concat(heads, "groups"))
-    )
+        F.expr(f"collect_list(case when hisp_rrace is not null then {line} end) as groups"))
+    blank = ", ".join(f"'{c}', cast(null as double)" for c in cells)
+    heads = ", ".join(f"named_struct('line_no', {n}, 'variable', '{text}', {blank})" for n, text in ((1, "Total"), (2, HEADER)))
+    written = sheets.where(F.size("groups") > 0).selectExpr("week", "geo_type", "geography", f"inline(concat(array({heads}), groups))")
     width = cb.BENCHMARK_MAX_COLUMNS
     candidates = []
     for layout in layouts():
-        values = [F.col(f"{layout['table']}_{c}").cast("string") for c in layout["columns"]]
-        values += [F.lit(None).cast("string")] * (width - len(values))
-        line = F.struct(
-            F.lit(layout["table"]).alias("table_name"), F.lit(len(layout["columns"])).alias("n_cols"),
-            *[v.alias(f"c{i}") for i, v in enumerate(values, start=1)],
-        )
-        candidates.append(F.when(F.col("week").between(*layout["weeks"]), line))
-    wanted = F.filter(F.array(*candidates), lambda line: line.isNotNull())
+        values = [f"cast({layout['table']}_{c} as string)" for c in layout["columns"]]
+        values += ["cast(null as string)"] * (width - len(values))
+        cells_of = ", ".join(f"'c{i}', {v}" for i, v in enumerate(values, start=1))
+        first, last = layout["weeks"]
+        candidates.append(f"case when week between {first} and {last} then named_struct('table_name', '{layout['table']}',"
+                          f" 'n_cols', {len(layout['columns'])}, {cells_of}) end")
     values = [f"c{i}" for i in range(1, width + 1)]
-    lines = written.select("week", "geo_type", "geography", "variable", "line_no", F.inline(wanted))
+    lines = written.selectExpr("week", "geo_type", "geography", "variable", "line_no",
+                               f"inline(filter(array({', '.join(candidates)}), line -> line is not null))")
     geo_type, week, geography, shift = SHIFTED
     moved = (F.col("table_name").startswith("food") & (F.col("geo_type") == geo_type) & (F.col("week") == week)
              & (F.col("geography") == geography) & (F.col("line_no") > 2))
