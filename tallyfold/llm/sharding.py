@@ -1,10 +1,15 @@
 """Sharding by best-fit-decreasing bin packing of groups that stay together.
 
-Groups are rows of equal text. A group larger than 1/UNITS of the whole is an item of its own (there are fewer
-than UNITS of those, whatever the input); all others fall by a hash of their text into UNITS items. So the packing
-sees 2 * UNITS items at most, while each of them is a tiny part of a bin. Items sorted by size enter the bin with
-the least room that still fits, found in a balanced (AVL) tree of bins by room. For a wanted number of bins the
-smallest capacity that fits is searched by halving.
+Groups are rows of equal text. Items sorted by size enter the bin with the least room that still fits, found in a
+balanced (AVL) tree of bins by room.
+
+For a wanted number of bins the smallest capacity that fits is searched by halving. A group larger than 1/UNITS of the
+whole is an item of its own (there are fewer than UNITS of those, whatever the input); all others fall by a hash of their
+text into UNITS items. So the packing sees 2 * UNITS items at most, while each of them is a tiny part of a bin.
+
+For a given capacity groups are dealt by hash into slices of about SLICE_BINS bins, which tasks pack apart from each other: a
+slice leaves one bin partly empty at most beyond what packing does. Groups of 1/SLICE_BINS of a bin or more are items, smaller
+ones share SLICE_BINS ** 2 items of a slice, each about as small, so a task packs a bounded number of items whatever the input.
 
 Defined cases: null texts are one group, empty texts another; equal rows get neighbouring slots; a null doc_id is a
 key like any other; an empty table gives no row. Other columns of the input are carried along; columns named size,
@@ -15,12 +20,15 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyfold.llm.store import settle
 
 UNITS = 1 << 13
+#: Bins that a task packs where the capacity is given.
+SLICE_BINS = 64
 #: Rows that are numbered in one task; a shard has as many slices as it takes.
 SLICE_ROWS = 50_000
 LEAST_SLICES = 64
@@ -143,12 +151,52 @@ def utf8_size(text: Column, overhead: int) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + F.lit(overhead)
 
 
+def _into_bins(groups: DataFrame, rows: DataFrame, whole: int, n_shards: int) -> DataFrame:
+    """Rows with the shard of their group, for a wanted number of shards."""
+    spark = groups.sparkSession
+    large = F.col("size") * UNITS > F.lit(whole)
+    own = groups.where(large).select(F.col("text_group").alias("item"), "size").collect()  # fewer than UNITS
+    unit = F.pmod("text_group", F.lit(UNITS))
+    units = groups.where(~large).groupBy(unit.alias("item")).agg(F.sum("size").alias("size")).collect()  # UNITS or fewer
+    items = sorted([(True, *r) for r in own] + [(False, *r) for r in units])
+    bins = pack_into([r[2] for r in items], n_shards)
+    placed = spark.createDataFrame([(a, b, s) for (a, b, _), s in zip(items, bins)], "own boolean, item long, shard int")
+    singles = placed.where("own").select(F.col("item").alias("text_group"), F.col("shard").alias("own_shard"))
+    shared = placed.where("not own").select("item", F.col("shard").alias("unit_shard"))
+    return rows.join(F.broadcast(singles), "text_group", "left").join(
+        F.broadcast(shared), unit == F.col("item"), "left").select(
+        "doc", "key", "size", "text_group", F.coalesce("own_shard", "unit_shard").alias("shard"))
+
+
+def _by_capacity(groups: DataFrame, rows: DataFrame, whole: int, capacity: int) -> tuple[DataFrame, int]:
+    """Rows with the shard of their group, and the number of shards, for a given capacity."""
+    n_slices = max(1, -(-whole // (capacity * SLICE_BINS)))
+    hashed = F.xxhash64("text_group", F.lit(1))
+    small = F.col("size") * SLICE_BINS < capacity
+    dealt = groups.select("text_group", "size", F.pmod(hashed, F.lit(n_slices)).alias("slice"), (~small).alias("own"),
+                          F.when(small, F.pmod(F.xxhash64("text_group", F.lit(2)), F.lit(SLICE_BINS**2))).otherwise(F.col("text_group")).alias("item"))
+    items = dealt.groupBy("slice", "own", "item").agg(F.sum("size").alias("size"))
+
+    def pack(slice_: pd.DataFrame) -> pd.DataFrame:
+        ordered = slice_.sort_values(["own", "item"])
+        return ordered[["slice", "own", "item"]].assign(bin=best_fit_decreasing(ordered["size"].tolist(), capacity))
+
+    packed = settle(items.groupBy("slice").applyInPandas(pack, "slice long, own boolean, item long, bin long"))
+    bins = packed.groupBy("slice").agg((F.max("bin") + 1).alias("n"))
+    # a row for each slice
+    before = settle(bins.select("slice", (F.sum("n").over(Window.orderBy("slice")) - F.col("n")).alias("before"), "n"))
+    total = before.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    shard = packed.join(before, "slice").select("slice", "own", "item", (F.col("before") + F.col("bin")).cast("int").alias("shard"))
+    of_group = dealt.join(shard, ["slice", "own", "item"]).select("text_group", "shard")
+    return rows.join(of_group, "text_group").select("doc", "key", "size", "text_group", "shard"), total
+
+
 def shard_documents(docs: DataFrame, n_shards: int | None = None, capacity: int | None = None,
                     overhead: int = 16) -> Packing:
     """``docs`` with size, shard and slot.
 
     With ``n_shards`` sizes are near equal; with ``capacity`` the number of shards is made small instead. Groups are
-    never split, so a group above the capacity makes one shard larger.
+    never split, so a group above the capacity has a shard of its own, which is larger.
     """
     if (n_shards is None) == (capacity is None):
         raise ValueError("give n_shards or capacity")
@@ -161,20 +209,7 @@ def shard_documents(docs: DataFrame, n_shards: int | None = None, capacity: int
                        utf8_size(text, overhead).alias("size"))
     groups = settle(rows.groupBy("text_group").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")))
     whole = groups.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    large = F.col("size") * UNITS > F.lit(whole[0])
-    own = groups.where(large).select(F.col("text_group").alias("item"), "size").collect()  # fewer than UNITS
-    unit = F.pmod("text_group", F.lit(UNITS))
-    units = groups.where(~large).groupBy(unit.alias("item")).agg(F.sum("size").alias("size")).collect()  # UNITS or fewer
-    items = sorted([(True, *r) for r in own] + [(False, *r) for r in units])
-    sizes = [r[2] for r in items]
-    bins = pack_into(sizes, n_shards) if n_shards else best_fit_decreasing(sizes, capacity)
-    total = n_shards or max(bins, default=-1) + 1
-    placed = spark.createDataFrame([(a, b, s) for (a, b, _), s in zip(items, bins)], "own boolean, item long, shard int")
-    singles = placed.where("own").select(F.col("item").alias("text_group"), F.col("shard").alias("own_shard"))
-    shared = placed.where("not own").select("item", F.col("shard").alias("unit_shard"))
-    rows = rows.join(F.broadcast(singles), "text_group", "left").join(
-        F.broadcast(shared), unit == F.col("item"), "left").select(
-        "doc", "key", "size", "text_group", F.coalesce("own_shard", "unit_shard").alias("shard"))
+    rows, total = (_into_bins(groups, rows, whole[0], n_shards), n_shards) if n_shards else _by_capacity(groups, rows, whole[0], capacity)
     # slots without one task for each shard: number within hashed slices, then add the slices before
     slices = max(LEAST_SLICES, -(-whole[1] // (max(total, 1) * SLICE_ROWS)))
     rows = rows.withColumn("part", F.pmod(F.xxhash64("key", "text_group"), F.lit(slices)))

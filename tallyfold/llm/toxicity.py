@@ -4,8 +4,8 @@
    of a word, occurs. Those that lean to toxic documents form the lexicon, with their log odds.
 2. Training tokens are tagged toxic where a toxic document has a word of high odds. The field's features are the odds
    classes of a word and of its neighbours, and the tags of neighbours. Its weights are fitted on a bounded sample of
-   labelled documents (SAMPLE_DOCS of each label, up to SAMPLE_WORDS words each); so is the step from marginals
-   to a document's score.
+   labelled documents (SAMPLE_DOCS of each label, SAMPLE_WORDS words of each: of a longer one the window that has most
+   words of the lexicon); so is the step from marginals to a document's score.
 3. Every whole document is tagged: forward-backward marginals give its score and the offsets of toxic spans.
 
 Labels, language, source and doc_id are no inputs of a score. Words are runs other than space and 0x09-0x0D; lower
@@ -231,6 +231,16 @@ def _count_keys(rows: DataFrame, known: set[bytes] | None) -> DataFrame:
     return rows.select("text").mapInPandas(run, "key binary, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
+def densest(text: bytes, lexicon: dict[bytes, float]) -> bytes:
+    """The text, or of more than SAMPLE_WORDS words the first window of as many that has most in the lexicon."""
+    words = text.split()
+    if len(words) <= SAMPLE_WORDS:
+        return text
+    known = np.cumsum([0, *[any(p in lexicon for p in parts_of(w.lower())) for w in words]])
+    at = int(np.argmax(known[SAMPLE_WORDS:] - known[:-SAMPLE_WORDS]))
+    return b" ".join(words[at : at + SAMPLE_WORDS])
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model | None:
     """Lexicon from all labelled training rows, weights from a bounded sample of them."""
     key = F.col("doc_id").cast("long")
@@ -247,19 +257,22 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model | N
     clean = {bytes(r[0]): r[1] for r in _count_keys(rows.where("y = 0"), set(toxic)).collect()}
     odds = {k: float(np.log((n + 0.5) / (totals[1] + 1)) - np.log((clean.get(k, 0) + 0.5) / (totals[0] + 1))) for k, n in toxic.items()}
     lexicon = {k: v for k, v in odds.items() if v >= ODDS_STEPS[0]}
-    fitting = F.size(F.split("text", "[ \\t\\n\\x0B\\f\\r]+")) <= SAMPLE_WORDS
     mark = F.xxhash64("doc_id", "text")
 
     def chosen_of(y: int) -> DataFrame:
         """Rows of least hash. Most are left out before the sort, which then sees a few times SAMPLE_DOCS rows."""
-        fitting_rows = rows.where(F.col("y") == y).where(fitting)
+        own = rows.where(F.col("y") == y)
         share = 4 * SAMPLE_DOCS / max(1, totals[y])
-        least = fitting_rows.where((mark / F.lit(2.0**64) + 0.5) < share) if share < 1 else fitting_rows
+        least = own.where((mark / F.lit(2.0**64) + 0.5) < share) if share < 1 else own
         return least.orderBy(mark, "doc_id").limit(SAMPLE_DOCS)
 
+    def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"text": [densest(t, lexicon) for t in encoded(batch["text"])], "y": batch["y"]})
+
     chosen = [chosen_of(y) for y in (0, 1)]
-    sample = chosen[0].union(chosen[1]).toPandas()
-    code, first, bounds = coded(encoded(sample["text"]), _CodeOf(lexicon))
+    sample = chosen[0].union(chosen[1]).mapInPandas(windows, "text binary, y int").toPandas()
+    code, first, bounds = coded([bytes(t) for t in sample["text"]], _CodeOf(lexicon))
     y = sample["y"].to_numpy()
     tagged = bisect_right(ODDS_STEPS, TAG_ODDS)
     high = (code // CLASSES >= tagged) | (code % CLASSES >= tagged)

@@ -59,6 +59,19 @@ def test_fixed_capacity(spark, sf):
     assert max(loads) <= 100_000 and packed.n_shards <= 1.1 * sum(loads) / 100_000 + 1
 
 
+def test_no_shard_above_a_capacity_that_every_group_fits(spark, monkeypatch):
+    rows = [(i, f"{i:06d}" + "x" * 994, "en", "a", 1) for i in range(6000)]
+    packed = sharding.shard_documents(spark.createDataFrame(rows, DOCS), capacity=2100)
+    loads = check_shards(packed.shards.collect(), packed.n_shards)
+    # two of 1016 bytes in each, but for the last shard of each slice
+    assert max(loads) <= 2100 and packed.n_shards <= 3000 + 6000 * 1016 // (2100 * sharding.SLICE_BINS) + 1
+    # groups far smaller than a bin share items, and one above the capacity is alone
+    rows = [(i, f"t{i}", "en", "a", 1) for i in range(5000)] + [(9000, "y" * 30_000, "en", "a", 1)]
+    packed = sharding.shard_documents(spark.createDataFrame(rows, DOCS), capacity=10_000)
+    loads = sorted(check_shards(packed.shards.collect(), packed.n_shards))
+    assert loads[-1] == 30_016 and loads[-2] <= 10_000
+
+
 def uniform(text):
     return int(hashlib.md5(text.encode()).hexdigest()[:13], 16) / 2**52
 

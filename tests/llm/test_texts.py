@@ -377,3 +377,25 @@ def test_toxicity_on_held_out_labels(spark):
     texts = {r.doc_id: r.text for r in docs.collect()}
     for r in scored.collect():
         assert 0 <= r.score <= 1 and all(0 <= s.start < s.end <= len(texts[r.doc_id]) for s in r.spans)
+
+
+def test_long_rows_take_part_in_the_fit(spark):
+    rng = random.Random(5)
+    plain, bad = [f"word{i}" for i in range(300)], ["vilelythe", "scumbeast", "rotgutter"]
+
+    def text(n, toxic):
+        words = rng.choices(plain, k=n)
+        for _ in range(6 if toxic else 0):
+            words[rng.randrange(n)] = rng.choice(bad)
+        return " ".join(words)
+
+    # all toxic rows are longer than a sampled window, all clean ones short
+    rows = [(i, text(2100 if i % 2 else 60, i % 2), "en", "a", 1) for i in range(160)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(160)], "doc_id long, toxic int")
+    docs = spark.createDataFrame(rows, DOCS)
+    scored = toxicity.score_toxicity(docs, toxicity.train(docs, labels)).collect()
+    assert sum(r.predicted for r in scored if r.doc_id % 2) >= 76 and not sum(r.predicted for r in scored if r.doc_id % 2 == 0)
+    lexicon = {b"wvilelythe": 3.0}
+    long = b" ".join([b"a"] * 3000 + [b"vilelythe"] + [b"b"] * 500)
+    window = toxicity.densest(long, lexicon).split()
+    assert len(window) == toxicity.SAMPLE_WORDS and b"vilelythe" in window
