@@ -124,17 +124,17 @@ def contrasts(domain: DataFrame, design: SurveyDesign) -> DataFrame:
     return contrast(places, design, solo=(F.col("geo_type") == NATIONAL) & (F.col("kind") == "total"))
 
 
-def _cell_key(week: Column, metric: Column, race: Column) -> Column:
-    return F.concat_ws("|", week, metric, race)
+def _cell_key(metric: Column, race: Column) -> Column:
+    return F.concat_ws("|", metric, race)
 
 
 def dense(stats: DataFrame, options: EstimateOptions, places: DataFrame | None = None) -> DataFrame:
     """A row for every metric and group of each area and week.
 
-    ``places`` (geo_type, geography) adds areas of a dimension that may have no respondents at all; with
-    ``options.weeks`` an area has rows for all these weeks. Cells nobody is in get the constants of an empty
-    contrast. The lists are literals, looked up in a map of at most weeks x metrics x (groups + total) entries
-    per area, so no grid is joined. National totals are the exception: a metric without answers has no row, a
+    With ``options.weeks`` an area has rows for all these weeks, and ``places`` (geo_type, geography) adds areas of a
+    dimension that may have no respondents at all. Cells nobody is in get the constants of an empty
+    contrast. The lists are literals, looked up in a map of at most metrics x (groups + total) entries
+    per area and week, so no grid is joined. National totals are the exception: a metric without answers has no row, a
     removed one a constant row.
     """
     wanted = set(options.families)
@@ -145,17 +145,20 @@ def dense(stats: DataFrame, options: EstimateOptions, places: DataFrame | None =
         F.when(with_groups, literal_array(options.groups)).otherwise(F.array().cast("array<string>")),
         F.when(with_total, literal_array([cb.TOTAL])).otherwise(F.array().cast("array<string>")),
     )
-    key = _cell_key(F.col("week_num"), F.col("metric"), F.col("race_var"))
+    key = _cell_key(F.col("metric"), F.col("race_var"))
     entry = F.when(F.col("race_var").isNotNull(), F.struct(key.alias("key"), F.struct(*STATS).alias("value")))
-    rows = stats.select("geo_type", "geography", "week_num", entry.alias("entry"))
-    if places is not None:
-        rows = rows.unionByName(places.select("geo_type", "geography").distinct(), allowMissingColumns=True)
-    cells = rows.groupBy("geo_type", "geography").agg(
-        F.map_from_entries(F.collect_list("entry")).alias("cells"), F.collect_set("week_num").alias("found_weeks")
-    )
-    weeks = F.col("found_weeks") if options.weeks is None else literal_array(list(options.weeks))
-    grid = cells.select("geo_type", "geography", "cells", F.explode(weeks).alias("week_num")).select(
-        "*", F.explode(literal_array(options.metrics)).alias("metric")).select("*", F.explode(races).alias("race_var"))
+    area = ("geo_type", "geography")
+    weekly = stats.groupBy(*area, "week_num").agg(F.map_from_entries(F.collect_list(entry)).alias("cells"))
+    if options.weeks is not None:
+        # an area that misses a week, or that only the dimension has, gets empty maps
+        found = weekly.select(*area, F.struct("week_num", "cells").alias("week"))
+        if places is not None:
+            found = found.unionByName(places.select(*area).distinct(), allowMissingColumns=True)
+        of_area = found.groupBy(*area).agg(F.map_from_entries(F.collect_list("week")).alias("weeks"))
+        none = F.create_map().cast(weekly.schema["cells"].dataType)
+        weekly = of_area.select(*area, "weeks", F.explode(literal_array(list(options.weeks))).alias("week_num")).select(
+            *area, "week_num", F.coalesce(F.try_element_at("weeks", "week_num"), none).alias("cells"))
+    grid = weekly.select("*", F.explode(literal_array(options.metrics)).alias("metric")).select("*", F.explode(races).alias("race_var"))
     us_total = is_us & (F.col("race_var") == cb.TOTAL)
     removed = us_total & F.col("metric").isin(*options.removed)
     found = F.when(~removed, F.try_element_at("cells", key))

@@ -74,9 +74,11 @@ def respondent_sides(df: DataFrame, design: SurveyDesign, areas: Sequence[str],
         F.expr("count(x) as n"), *[F.expr(text) for i, w in each for text in (f"sum({w} * x) as num_{i}", f"sum({w}) as den_{i}")])
     kinds = ", ".join(f"named_struct('geo_type', '{a}', 'geography', {place[a]})" for a in areas)
     placed = finest.selectExpr("week_num", "metric", "race", "n", *names, f"inline(array({kinds}))").where("geography is not null")
-    by_race = placed.groupBy(*keys, "race").agg(*[F.expr(f"sum({k}) as {k}") for k in ("n", *names)])
-    whole = by_race.groupBy(*keys).agg(*[F.expr(f"sum({k}) as all_{k}") for k in ("n", *names)])
-    both = by_race.where(F.col("race").isin(*groups)).join(whole, list(keys)).where("n > 0 and all_n > n")
+    # one exchange serves the sums of the groups and those of their areas
+    by_race = placed.repartition(*keys).groupBy(*keys, "race").agg(*[F.expr(f"sum({k}) as {k}") for k in ("n", *names)])
+    area = f"over (partition by {', '.join(keys)})"
+    whole = by_race.selectExpr("*", *[f"sum({k}) {area} as all_{k}" for k in ("n", *names)])
+    both = whole.where(F.col("race").isin(*groups)).where("n > 0 and all_n > n")
     arrays = [f"array({', '.join(f'all_{kind}_{i} - {kind}_{i}' if left else f'{kind}_{i}' for i, _ in each)}) as {prefix}{kind}"
               for left, prefix in ((False, ""), (True, "rest_")) for kind in ("num", "den")]
     return both.selectExpr(*keys, "race as race_var", "n", "all_n - n as rest_n", *arrays)
