@@ -113,31 +113,23 @@ def _spread(term, factor: str = "2") -> str:
     return f"{factor} * sqrt((" + " + ".join(f"power({term(r)} - {term(0)}, 2)" for r in range(1, R + 1)) + f") / {R}.0)"
 
 
-def _two_sides(targets: str, own: str, join: str, keys: str) -> str:
-    """Own and rest sums of every target, then the estimates of each weight for both."""
-    sums = [f"sum(n) filter ({own}) as n1", f"sum(n) filter (not ({own})) as n0"]
-    for r in range(R + 1):
-        for s in ("a", "b"):
-            sums += [f"sum({s}{r}) filter ({own}) as {s}{r}_1", f"sum({s}{r}) filter (not ({own})) as {s}{r}_0"]
+def _two_sides(within: str, item: str, race_var: str) -> str:
+    """Own and rest sums of every cell, then the estimates of each weight for both: the rest is what comes before plus
+    what comes after the cell among those with the same ``within``."""
+    def rest(c: str) -> str:
+        return f"coalesce(sum({c}) over ahead, 0) + coalesce(sum({c}) over behind, 0)"
+
+    frames = ", ".join(f"{name} as (partition by {within} order by {item} nulls first rows between {frame})" for name, frame in (
+        ("ahead", "unbounded preceding and 1 preceding"), ("behind", "1 following and unbounded following")))
+    sums = ["n as n1", f"{rest('n')} as n0"] + [f"{s}{r} as {s}{r}_1, {rest(f'{s}{r}')} as {s}{r}_0" for r in range(R + 1) for s in ("a", "b")]
     thetas = ", ".join(f"a{r}_1 / b{r}_1 as t{r}, a{r}_0 / b{r}_0 as o{r}" for r in range(R + 1))
-    extra = ", ".join(f"a{r}_1, b{r}_1, a{r}_0, b{r}_0" for r in range(R + 1))
-    return (f"sided as (select {keys}, {', '.join(sums)} from {targets} join cells on {join} group by all),"
-            f" thetas as (select {keys}, coalesce(n1, 0) as n1, coalesce(n0, 0) as n0, {thetas}, {extra} from sided)")
+    return (f"sided as materialized (select week_num, geo_type, geography, metric, {race_var} as race_var, {', '.join(sums)} from cells window {frames}),"
+            f" thetas as (select *, {thetas} from sided where geography is not null and race_var is not null)")
 
 
 GROUPS = _values("groups", "race_var", cb.GROUPS)
-GROUP_SIDES = _two_sides("groups", "cells.race is not distinct from groups.race_var", "true",
-                         "week_num, geo_type, geography, metric, groups.race_var")
-TOTAL_SIDES = ("targets as (select distinct week_num as t_week, geo_type as t_type, geography as t_geo, metric as t_metric"
-               " from cells where geography is not null), "
-               + _two_sides("targets", "geography is not distinct from t_geo",
-                            "week_num = t_week and geo_type = t_type and metric = t_metric",
-                            "t_week as week_num, t_type as geo_type, t_geo as geography, t_metric as metric,"
-                            " 'total' as race_var").replace(
-                   "thetas as (select t_week as week_num, t_type as geo_type, t_geo as geography, t_metric as metric,"
-                   " 'total' as race_var", "thetas as (select week_num, geo_type, geography, metric, race_var"))
-GROUP_SIDES = GROUP_SIDES.replace("thetas as (select week_num, geo_type, geography, metric, groups.race_var",
-                                  "thetas as (select week_num, geo_type, geography, metric, race_var")
+GROUP_SIDES = _two_sides("week_num, geo_type, geography, metric", "race", "race")
+TOTAL_SIDES = _two_sides("week_num, geo_type, metric", "geography", "'total'")
 BOTH = "(n1 > 0 and n0 > 0)"
 
 
