@@ -158,4 +158,5 @@ def land_sheets(lines: DataFrame, folder: str) -> None:
     files = sheets.select(
         F.concat("table_name", F.lit("_wk"), "week", F.lit(".xlsx")).alias("workbook"), F.col("geography").alias("sheet"),
         F.array_join(F.concat(titles, body), "\n").alias("value"))
-    files.write.mode("overwrite").partitionBy("workbook", "sheet").text(folder)
+    # a small file each, so many tasks write them
+    files.repartition(64, "workbook", "sheet").write.mode("overwrite").partitionBy("workbook", "sheet").text(folder)
