@@ -117,3 +117,27 @@ def test_no_python_group_function_in_the_rest(spark):
     cells = flattened(cell_cube(frame(spark, people(50)), DESIGN, METRICS, ["week_num", "race"]), 5)
     plan = with_rest(cells, DESIGN, ["week_num"], "race")._jdf.queryExecution().executedPlan().toString()
     assert "Window" in plan and "FlatMapGroups" not in plan
+
+
+def test_no_task_sorts_its_wide_rows(spark):
+    df = grouped_sums(frame(spark, people()), DESIGN, METRICS, KEYS)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Sort" not in plan
+
+
+def test_rows_in_any_order_are_handed_on_once():
+    rows = people(2000)
+    sets = [["week_num"], ["week_num", "state", "race"]]
+    _, schema = _partial_schema([T.StructField(k, T.StringType()) for k in KEYS], 5)
+    task = _sum_respondents(KEYS, ["m_plain"], 5, sets, schema, 4000)
+    batches = [pa.RecordBatch.from_pydict({
+        **{k: pa.array([p[k] for p in rows[i : i + 97]], pa.string()) for k in KEYS}, "w": [p["w"] for p in rows[i : i + 97]],
+        "x": pa.array([[p["m_plain"]] for p in rows[i : i + 97]], pa.list_(pa.float64()))}) for i in range(0, len(rows), 97)]
+    handed = [r for batch in task(batches) for r in batch.to_pylist()]
+    for number, keys in enumerate(sets):
+        wanted = expected(rows, keys, "m_plain")
+        found = {tuple(r[k] for k in keys): r for r in handed if r["set_id"] == number}
+        assert len([r for r in handed if r["set_id"] == number]) == len(found) == len(wanted)
+        for key, (n, num, _, lo, hi) in wanted.items():
+            assert (found[key]["n"], found[key]["lo"], found[key]["hi"]) == (n, lo, hi)
+            assert [found[key][f"num_{i}"] for i in range(5)] == pytest.approx(num)
