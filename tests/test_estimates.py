@@ -1,15 +1,19 @@
 import math
 from dataclasses import replace
+from itertools import product
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tallyfold import codebook as cb
 from tallyfold.functions.replicates import SurveyDesign, confidence, significance
-from tallyfold.operators.contrast import STATS, weighted_means
+from tallyfold.operators.contrast import STATS, domain_means, weighted_means
 from tallyfold.operators.cube import cell_cube
 from tallyfold.plans import estimates as es
 from tallyfold.plans import qc
+from tallyfold.standin import catalog
 from tests import brute
 from tests.people import DESIGN, GROUPS, METRICS, frame, people
 
@@ -199,3 +203,62 @@ def test_group_versus_total_by_hand(spark):
     row = found["wk13", "national", "US", "black", "m_plain"]
     assert row["total_group"] == pytest.approx(diff[0])
     assert row["total_group_se"] == pytest.approx(brute.spread(diff))
+
+
+def test_respondents_are_not_multiplied_for_their_sums(spark):
+    df = frame(spark, people())
+    for out in (qc.respondent_sides(df, DESIGN, ("state", "msa", "national"), METRICS, GROUPS),
+                domain_means(df, "pweight", list(METRICS), ["week_num", "race"])):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        # the lowest lines are the respondents: nothing unpivots them before they are added up
+        below = plan[max(plan.rfind("MapInArrow"), plan.rfind("Aggregate")) :]
+        assert "Generate" not in below and "Expand" not in below
+
+
+def test_sides_equal_plain_sums_in_chunks_of_any_size(spark):
+    rows = people()
+    rows[5]["w"][2] = None
+    areas = {"state": "state", "msa": "cbsa_title", "national": None}
+    task = qc._area_sums(tuple(areas), METRICS, pa.schema(
+        [*[(k, pa.string()) for k in ("week_num", "metric", "geo_type", "geography", "race")], ("n", pa.int64()),
+         *[(f"{kind}_{i}", pa.float64()) for kind in ("num", "den") for i in range(5)]]))
+    texts = ("week_num", "state", "cbsa_title", "race")
+    batches = [pa.RecordBatch.from_pydict({**{k: pa.array([p[k] for p in part], pa.string()) for k in texts}, "w": [p["w"] for p in part],
+               "x": pa.array([[p[m] for m in METRICS] for p in part], pa.list_(pa.float64()))}) for part in (rows[:150], rows[150:])]
+    wanted = {}
+    for p in rows:
+        for (kind, column), metric in product(areas.items(), METRICS):
+            place = "US" if column is None else p[column]
+            if place is not None and p[metric] is not None:
+                cell = wanted.setdefault((p["week_num"], metric, kind, place, p["race"]), np.zeros(11))
+                w = np.array([x or 0.0 for x in p["w"]])
+                cell += np.concatenate([[1], w * p[metric], w])
+    # together, and a batch at a time: the sums of the parts are those of the whole
+    for parts in ([batches], [[b] for b in batches]):
+        found = {}
+        for r in (r for part in parts for batch in task(part) for r in batch.to_pylist()):
+            values = list(r.values())
+            found[tuple(values[:5])] = found.get(tuple(values[:5]), 0) + np.array(values[5:])
+        assert found.keys() == wanted.keys()
+        assert all(found[k] == pytest.approx(wanted[k]) for k in wanted)
+    assert not list(task([])) and not list(task([batches[0].slice(0, 0)]))
+
+
+def test_means_leave_out_what_has_no_answers(spark):
+    rows = people()
+    rows[3]["w"][0] = None
+    found = {(r["week_num"], r["race"], r["metric"]): r for r in domain_means(frame(spark, rows), "pweight", list(METRICS), ["week_num", "race"]).collect()}
+    wanted = {}
+    for p, metric in product(rows, METRICS):
+        if p[metric] is not None:
+            w = p["w"][0]
+            cell = wanted.setdefault((p["week_num"], p["race"], metric), [0, 0.0, 0.0])
+            cell[:] = cell[0] + 1, cell[1] + (w or 0.0) * p[metric], cell[2] + (w or 0.0)
+    assert found.keys() == wanted.keys()
+    for key, (n, num, den) in wanted.items():
+        assert found[key]["n"] == n and found[key]["mean"] == pytest.approx(num / den)
+
+
+def test_history_and_run_are_summed_once(spark, sf):
+    plan = catalog.append_idempotent(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Hispanic" not in plan
