@@ -3,6 +3,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check import TABLES, compare
+from tallyfold.session import METHOD_LIMIT
 from tallyfold.standin import catalog, oracle
 
 NAMES = ("missing_drift", "outcome_by_answered", "contrast_group_vs_rest", "estimate_national_total",
@@ -37,3 +38,18 @@ def test_microdata_is_read_once_for_all_families(spark, sf):
     assert plan.count("orders.parquet") == 1
     assert "Cartesian" not in plan and "NestedLoop" not in plan
     assert "o_orderpriority" not in plan
+
+
+def test_wide_rows_are_left_to_methods_that_hotspot_compiles(spark, sf):
+    key, usual, limit = METHOD_LIMIT
+    assert spark.conf.get(key) == limit
+    try:
+        # a session that is not ours, and one whose owner chose a limit
+        spark.conf.set(key, usual)
+        entry.queries()["estimate_national_total"](spark, sf)
+        assert spark.conf.get(key) == limit
+        spark.conf.set(key, "20000")
+        entry.queries()["estimate_national_total"](spark, sf)
+        assert spark.conf.get(key) == "20000"
+    finally:
+        spark.conf.set(key, limit)
