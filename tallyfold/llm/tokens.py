@@ -11,6 +11,7 @@ doc_id follow each other by text; an empty table gives no segment. Other columns
 
 from __future__ import annotations
 
+import json
 import struct
 import zlib
 from collections.abc import Iterator
@@ -32,8 +33,11 @@ SEGMENT_TOKENS = 1 << 20
 #: Words whose ids a worker remembers; it forgets all when there are more.
 REMEMBERED_WORDS = 800_000
 #: Word that is put between words which are tokenized together, and how many of those there are.
-MARK, JOIN, AT_ONCE = b"\x00", " \x00 ", 4000
-STOPS = b".,;:!?"
+MARK, JOIN, AT_ONCE = b"\x00", b" \x00 ", 400
+STOPS = b".,;:!?&$*%#"
+#: Bytes of ASCII and of U+00C0 to U+023F: single letters but for two signs, none of which a neighbour changes. One grows a mark when lowered.
+_LATIN = bytes([*range(0xC0), *range(0xC3, 0xC9)])
+_DOTTED = b"\xc4\xb0"
 SEGMENT = "part int, seq int, n_tokens long, doc_ids array<long>, sizes array<long>, payload binary"
 
 
@@ -99,11 +103,45 @@ class Codes:
         return value
 
 
+_STOP, _PLAIN = np.zeros(256, bool), np.zeros(256, bool)
+_STOP[list(STOPS)] = True
+_PLAIN[list(b"0123456789abcdefghijklmnopqrstuvwxyz")] = True
+
+
+def spaced(texts: list[bytes]) -> list[bytes]:
+    """Texts of the same ids, with small letters of ASCII and a space between these and a stop, so that they have fewer distinct words.
+
+    Texts with marks that change a letter before them, or with special tokens, stay.
+    """
+    at = [i for i, t in enumerate(texts) if b"<|" not in t and b"\xcc" not in t and b"\xcd" not in t]
+    joined = b" ".join([texts[i] for i in at]).lower()
+    data = np.frombuffer(joined, np.uint8)
+    cuts = np.flatnonzero(_STOP[data[1:]] & _PLAIN[data[:-1]]) + 1
+    joined = np.insert(data, cuts, 32).tobytes()
+    ends = np.cumsum([len(texts[i]) + 1 for i in at]) - 1
+    ends += np.searchsorted(cuts, ends)
+    out, begin = list(texts), 0
+    for i, end in zip(at, ends.tolist()):
+        out[i], begin = joined[begin:end], end + 1
+    return out
+
+
+def latin(word: bytes) -> bool:
+    """Whether lowering and cutting its bytes is lowering and cutting its letters."""
+    return word.isascii() or not word.translate(None, _LATIN) and _DOTTED not in word
+
+
+def ends_in_letter(word: bytes) -> bool:
+    """Whether the last character of a latin word is a letter or digit."""
+    return word[-1:].isalnum() or word[-1:] > b"\x7f" and word[-2:].decode().isalpha()
+
+
 class TextEncoder:
     """Ids of texts by the ids of their words, each of which the tokenizer sees once.
 
     Holds for tokenizers that lower all letters, drop white space and never join characters across it, nor a letter or
-    digit with a stop after it, as the one in use does.
+    digit with a stop after it, as the one in use does. Where pieces that end a run of letters are marked in the
+    vocabulary, words of letters need no mark between them.
     """
 
     def __init__(self, path: str):
@@ -111,6 +149,13 @@ class TextEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         (self.mark,) = self.tokenizer.encode(MARK.decode(), add_special_tokens=False).ids
+        if hasattr(self.tokenizer.model, "_resize_cache"):
+            # it would look up every word, none of which comes twice
+            self.tokenizer.model._resize_cache(0)
+        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        if suffix:
+            self.last[[i for piece, i in self.tokenizer.get_vocab().items() if piece.endswith(suffix)]] = True
         self.forget()
 
     def forget(self) -> None:
@@ -131,15 +176,30 @@ class TextEncoder:
         self.index.update(zip(words, range(self.n, need)))
         self.n, self.used = need, used
 
+    def _joined(self, words: list[bytes], between: bytes) -> Iterator[tuple[list[bytes], np.ndarray]]:
+        """Words and the ids of their joined text, many at once."""
+        own = [words[i : i + AT_ONCE] for i in range(0, len(words), AT_ONCE)]
+        texts = [between.join(x).decode("utf-8", "surrogatepass") for x in own]
+        for x, e in zip(own, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            yield x, np.array(e.ids, np.uint32)
+
     def _tokenize(self, words: list[bytes]) -> None:
-        """New words, many in a text with a mark between them whose id nothing else has."""
-        plain = [w for w in words if MARK not in w]
-        odd = [w for w in words if MARK in w]
-        texts = [w.decode("utf-8", "surrogatepass") for w in plain]
-        joined = [JOIN.join(texts[i : i + AT_ONCE]) for i in range(0, len(texts), AT_ONCE)]
-        found = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)]
-        for i, ids in enumerate(found):
-            own = plain[i * AT_ONCE : (i + 1) * AT_ONCE]
+        """New words, many in a text: of letters beside each other, others with a mark between them whose id nothing else has."""
+        letters, plain, odd = [], [], []
+        for w in words:
+            if w.isalpha() or not w.isascii() and latin(w) and w.decode().isalpha():
+                letters.append(w)
+            elif MARK in w:
+                odd.append(w)
+            else:
+                plain.append(w)
+        for own, ids in self._joined(letters, b" "):
+            cut = np.flatnonzero(self.last[ids])
+            if len(cut) == len(own) and cut[-1] == len(ids) - 1:
+                self._add(own, ids, np.diff(cut, prepend=-1))
+            else:
+                plain += own
+        for own, ids in self._joined(plain, JOIN):
             cut = np.flatnonzero(ids == self.mark)
             if len(cut) != len(own) - 1:
                 raise ValueError("the tokenizer does not keep words apart")
@@ -149,7 +209,7 @@ class TextEncoder:
             self._add([w], np.array(ids, np.uint32), np.array([len(ids)]))
 
     def _learn(self, words: list[bytes]) -> None:
-        """Capitals and stops of ASCII words are taken off first: the tokenizer lowers all letters and cuts between a
+        """Capitals of ASCII and stops of latin words are taken off first: the tokenizer lowers all letters and cuts between a
         letter and a stop, so what is left is known more often."""
         new = [w for w in words if w not in self.index]
         # no word has a line feed, so all are lowered at once
@@ -157,9 +217,9 @@ class TextEncoder:
         heads = [low.rstrip(STOPS) for low in lows]
         simple, composed, firsts, seconds = [], [], [], []
         for w, low, head in zip(new, lows, heads):
-            if w == head or not w.isascii() or b"<|" in w:
+            if w == head or not (w.isascii() or latin(w)) or b"<|" in w:
                 simple.append(w)
-            elif low != head and head and head[-1:].isalnum():
+            elif low != head and head and (head[-1:].isalnum() or ends_in_letter(head)):
                 composed.append(w)
                 firsts.append(head)
                 seconds.append(low[len(head) :])
@@ -169,9 +229,9 @@ class TextEncoder:
                 seconds.append(b"")
             else:
                 simple.append(w)
-        parts = dict.fromkeys([*simple, *firsts, *seconds])
-        parts.pop(b"", None)
-        self._tokenize([w for w in parts if w not in self.index])
+        parts = dict.fromkeys(simple)
+        parts.update(dict.fromkeys(p for p in {*firsts, *seconds} if p and p not in self.index))
+        self._tokenize(list(parts))
         if composed:
             # both parts of every word, the second of which may be empty
             flat = [self.index.get(p, -1) for pair in zip(firsts, seconds) for p in pair]
@@ -184,6 +244,7 @@ class TextEncoder:
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         if self.n > REMEMBERED_WORDS:
             self.forget()
+        texts = spaced(texts)
         words = words_of(texts, lower=False)
         if not len(words.hash):
             return [np.zeros(0, np.uint32) for _ in texts]

@@ -399,3 +399,22 @@ def test_long_rows_take_part_in_the_fit(spark):
     long = b" ".join([b"a"] * 3000 + [b"vilelythe"] + [b"b"] * 500)
     window = toxicity.densest(long, lexicon).split()
     assert len(window) == toxicity.SAMPLE_WORDS and b"vilelythe" in window
+
+
+def test_words_with_accents_are_cut_before_the_tokenizer():
+    seen = []
+
+    class Watched(tokens.TextEncoder):
+        def _tokenize(self, words):
+            seen.extend(words)
+            super()._tokenize(words)
+
+    import public_tokenizers
+
+    own = Watched(public_tokenizers.path("word_bpe_49k.json"))
+    odd = ["\u00e9lan Caf\u00e9", "\u00e9lan. caf\u00e9,*** \u00c9LAN&&& caf\u00e9's", "\u0130x\u0130. \u0131\u00d7. \u00d7, H\u0331a. h\u0331 e\u0301. \u03a3\u03a3. \u044f. 9.\u00e9 \u00e9<|endoftext|>."]
+    for text in odd:
+        assert own.encode([text.encode()])[0].tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids
+    texts = ["", "Abc.", "", "D\u00e9f, h\u0331!", "G.h <|x", "I9?!"]
+    assert tokens.spaced([x.encode() for x in texts]) == [x.encode() for x in ("", "abc .", "", texts[3], texts[4], "i9 ?!")]
+    assert "\u00e9lan.".encode() not in seen and "caf\u00e9,***".encode() not in seen
