@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -129,3 +130,21 @@ def test_whole_table(spark, sf):
 
 def test_no_rows(none):
     assert rp.without_repeats(none).collect() == []
+
+
+def test_a_task_holds_a_group_of_contents_at_once(monkeypatch):
+    """Objects for some pieces and not for all that a task has: 24 slices share most of their texts. 55 MB when all were there."""
+    monkeypatch.setattr(rp, "GROUP_BYTES", 1 << 20, raising=False)
+    rng = np.random.default_rng(5)
+    body = [bytes(rng.integers(97, 123, 1500, np.uint8)) for _ in range(600)]
+    blobs = []
+    for k in range(24):
+        texts = [t[:700] + b"%03d" % k + t[700:] for t in body[k :: 8] + body[k % 3 :: 8]]
+        ids = np.arange(len(texts)) + 1000 * k
+        blobs += [(meta, contents) for bucket, meta, contents in rp.parcels(ids, ids, texts, 2) if bucket == 1]
+    tracemalloc.start()
+    rows = sum(len(found) for found in rp.resolve(blobs))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows > 100_000
+    assert peak < 40e6
