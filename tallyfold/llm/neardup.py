@@ -30,13 +30,13 @@ from pyspark.sql import functions as F
 
 from tallyfold.llm.components import components
 from tallyfold.llm.store import arrow_rows, forget, settle, small
-from tallyfold.llm.words import encoded, mix, odd_numbers, shingle_sets, slices, words_of
+from tallyfold.llm.words import encoded, mix, odd_numbers, shingle_sets, slices, sparing, words_of
 
 MINIMA, BANDS, BAND_ROWS = 256, 32, 4
 #: Of 256 sketch bits, those that may differ: 32 are expected at a similarity of 0.75, with a deviation of 5.3.
 MOST_BITS = 60
-#: Rows with texts that Python gets at once.
-ROWS_AT_ONCE = 2000
+#: Rows with texts that Python gets at once, and bytes of them that are cut into words at once.
+ROWS_AT_ONCE, SLICE_BYTES = 2000, 1 << 19
 _A, _B = odd_numbers(MINIMA, 11), odd_numbers(MINIMA, 12)
 _BAND = odd_numbers(BANDS, 13)
 SETS = ("doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, "
@@ -83,9 +83,9 @@ def describe(docs: DataFrame) -> DataFrame:
     """doc_id, set size, fingerprint of the set, band keys and sketch of every row."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in sparing(batches):
             texts = encoded(batch["text"])
-            for a, b in slices([len(t) for t in texts]):
+            for a, b in slices([len(t) for t in texts], SLICE_BYTES):
                 sets = shingle_sets(words_of(texts[a:b]))
                 full = [i for i, s in enumerate(sets) if len(s)]
                 bands = np.zeros((b - a, BANDS), np.int64)
@@ -121,9 +121,9 @@ def _levels(docs: DataFrame, ids: DataFrame) -> DataFrame:
     classes share no more than the segments' smaller counts, which the bits of both levels give. A doc_id may have several texts, so it is no key.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in sparing(batches):
             texts = encoded(batch["text"])
-            for a, b in slices([len(t) for t in texts]):
+            for a, b in slices([len(t) for t in texts], SLICE_BYTES):
                 sets = shingle_sets(words_of(texts[a:b]))
                 owner = np.repeat(fingerprints(sets), [len(s) for s in sets], axis=0)
                 kinds, first, n = np.unique(np.concatenate(sets), return_index=True, return_counts=True)
@@ -135,9 +135,9 @@ def _levels(docs: DataFrame, ids: DataFrame) -> DataFrame:
     own = counts.where("n = 1").groupBy("set_a", "set_b").agg(F.collect_list("shingle").alias("own"))
 
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in sparing(batches):
             texts = encoded(batch["text"])
-            for a, b in slices([len(t) for t in texts]):
+            for a, b in slices([len(t) for t in texts], SLICE_BYTES):
                 sets = shingle_sets(words_of(texts[a:b]))
                 prints = fingerprints(sets)
                 yield pd.DataFrame({"set_a": prints[:, 0], "set_b": prints[:, 1],
@@ -146,7 +146,7 @@ def _levels(docs: DataFrame, ids: DataFrame) -> DataFrame:
     totals = _texts_of(docs, ids).mapInPandas(whole, "set_a long, set_b long, per_segment array<int>").dropDuplicates(["set_a", "set_b"])
 
     def bits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in sparing(batches):
             left = np.zeros((len(batch), SEGMENTS), np.int64)
             for i, (n, gone) in enumerate(zip(batch["per_segment"], batch["own"])):
                 left[i] = n
@@ -179,9 +179,9 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
         texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in sparing(batches):
             left, right = encoded(batch["text_a"]), encoded(batch["text_b"])
-            for p, q in slices([len(x) + len(y) for x, y in zip(left, right)]):
+            for p, q in slices([len(x) + len(y) for x, y in zip(left, right)], SLICE_BYTES):
                 # a text that many pairs share is read once in a slice
                 own = list(dict.fromkeys(left[p:q] + right[p:q]))
                 sets = dict(zip(own, shingle_sets(words_of(own))))

@@ -418,3 +418,17 @@ def test_words_with_accents_are_cut_before_the_tokenizer():
     texts = ["", "Abc.", "", "D\u00e9f, h\u0331!", "G.h <|x", "I9?!"]
     assert tokens.spaced([x.encode() for x in texts]) == [x.encode() for x in ("", "abc .", "", texts[3], texts[4], "i9 ?!")]
     assert "\u00e9lan.".encode() not in seen and "caf\u00e9,***".encode() not in seen
+
+
+def test_workers_give_back_what_a_batch_took(monkeypatch):
+    import pandas as pd
+
+    from tallyfold.llm import words as w
+
+    calls = []
+    monkeypatch.setattr(w, "give_back", lambda: calls.append(1))
+    assert list(w.sparing(iter([1, 2, 3]))) == [1, 2, 3] and len(calls) == 3
+    # texts of one batch are cut into words half a megabyte at a time
+    batch = pd.DataFrame({"text": ["word " * 20_000] * 20, "lang": ["en"] * 20})
+    parts = [sum(map(len, texts)) for _, texts in quality._by_lang(batch)]
+    assert sum(parts) == 2_000_000 and max(parts) <= 1 << 19
